@@ -1,0 +1,6 @@
+"""Intentionally empty: the covered workload is daily batch snapshots.
+
+Changes arrive as a bounded change set and are applied by
+``riskspark.operators.upsert``; nothing in the covered feature set needs
+watermarks, windows over event time or stream state.
+"""
