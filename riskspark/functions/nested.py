@@ -69,10 +69,15 @@ def platform_names() -> Column:
     )
 
 
-def platform_values(names: Column, field: str) -> Column:
-    """Distinct values of one field. An escaped colon inside a name is not treated specially."""
+def platform_parts() -> Column:
+    """The fields of every platform name. An escaped colon in a name is not treated specially."""
+    return F.transform(platform_names(), lambda name: F.split(name, ":"))
+
+
+def platform_values(parts: Column, field: str) -> Column:
+    """Distinct values of one field of split platform names."""
     position = F.lit(CPE_FIELDS[field])
-    picked = F.transform(names, lambda name: F.get(F.split(name, ":"), position))
+    picked = F.transform(parts, lambda fields: F.get(fields, position))
     return F.slice(F.array_distinct(picked), 1, K.MAX_LIST_VALUES)
 
 

@@ -64,16 +64,21 @@ def prepare_text(df: DataFrame, max_chars: int | None = None) -> DataFrame:
     )
 
 
-def text_stages(settings: FeatureSettings) -> list:
+def words_of(prepared: DataFrame) -> DataFrame:
+    """The clean text as a list of words that can tell clusters apart (M2, M3)."""
     stop_words = StopWordsRemover.loadDefaultStopWords("english") + K.DOMAIN_STOP_WORDS
+    tokens = RegexTokenizer(
+        inputCol="clean_text",
+        outputCol="tokens",
+        pattern=r"\W+",
+        minTokenLength=K.MIN_TOKEN_LENGTH,
+    ).transform(prepared)
+    remover = StopWordsRemover(inputCol="tokens", outputCol="words", stopWords=stop_words)
+    return remover.transform(tokens).drop("clean_text", "tokens")
+
+
+def text_stages(settings: FeatureSettings) -> list:
     return [
-        RegexTokenizer(
-            inputCol="clean_text",
-            outputCol="tokens",
-            pattern=r"\W+",
-            minTokenLength=K.MIN_TOKEN_LENGTH,
-        ),
-        StopWordsRemover(inputCol="tokens", outputCol="words", stopWords=stop_words),
         CountVectorizer(
             inputCol="words",
             outputCol="term_counts",
@@ -114,15 +119,15 @@ def build_features(
 ) -> tuple[DataFrame, list[str]]:
     """Feature table and vocabulary.
 
-    The prepared text and the assembled vectors are written out, as fitting reads them several
-    times; the result keeps only the columns that clustering and topics need.
+    Texts are split into words once; words and assembled vectors are written out, as fitting reads
+    them several times. The result keeps only the columns that clustering and topics need.
     """
-    prepared = stage_table(prepared, "text")
+    words = stage_table(words_of(prepared), "words")
     stages = text_stages(settings) + category_stages(settings) + assembly_stages()
-    model = Pipeline(stages=stages).fit(prepared)
+    model = Pipeline(stages=stages).fit(words)
     counters = [stage for stage in model.stages if isinstance(stage, CountVectorizerModel)]
     assembled = stage_table(
-        model.transform(prepared).select(
+        model.transform(words).select(
             KEY, "assembled", "tfidf", "cwes", "cpe_vendors", "is_kev"
         ),
         "features",

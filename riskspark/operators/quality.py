@@ -16,16 +16,18 @@ def _missing(values: str) -> Column:
 
 
 def summary(df: DataFrame, snapshot_date: DateLike, accuracy: int = 10_000) -> DataFrame:
-    """The whole profile in one aggregation.
+    """The whole profile in one row.
 
     ``pct_null_epss`` counts zero probabilities, the filled form of "no probability known".
-    The median is approximate above ``accuracy`` rows, in bounded memory.
+    The median is approximate above ``accuracy`` rows, in bounded memory. Distinct keys are counted
+    by a subquery over the key column: inside the same aggregation every key would carry its own
+    quantile sketch through the shuffle.
     """
+    distinct_keys = df.agg(F.count_distinct("cve_id").alias("n")).scalar()
     flagged = F.col("is_kev") == 1
     scored = F.col("epss_score") > 0.0
     profile = df.agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.count_distinct("cve_id").alias("distinct_cve_count"),
         _percent(F.col("cvss_score").isNull()).alias("pct_null_cvss"),
         _percent(F.col("epss_score") == 0.0).alias("pct_null_epss"),
         _percent(_missing("cwes")).alias("pct_null_cwes"),
@@ -39,7 +41,12 @@ def summary(df: DataFrame, snapshot_date: DateLike, accuracy: int = 10_000) -> D
         F.count_if(scored).alias("nvd_epss_intersection"),
         F.count_if(flagged & scored).alias("nvd_kev_epss_intersection"),
     )
-    return profile.select(as_date(snapshot_date).alias("snapshot_date"), "*")
+    return profile.select(
+        as_date(snapshot_date).alias("snapshot_date"),
+        "row_count",
+        distinct_keys.alias("distinct_cve_count"),
+        *[name for name in profile.columns if name != "row_count"],
+    )
 
 
 def severity_distribution(df: DataFrame, snapshot_date: DateLike) -> DataFrame:

@@ -78,16 +78,16 @@ def ranked_prefix(df: DataFrame, order: Sequence[str], k: int, rank: str) -> Dat
         # the window sees the k kept rows only
         return top_k(df, order, k).withColumn(rank, row_numbers([], order))
     # The k-th best row of any subset is not ahead of the k-th best row of all, so no row of the
-    # answer comes after it. What passes this cut, k rows and a few, is ranked exactly.
-    cut = _kth_head(df, order, k)
-    candidates = df if cut is None else df.where(_not_after(order, cut))
-    return global_rank(candidates, order, rank).where(F.col(rank) <= k)
+    # answer comes after it. Little more than k rows pass this cut into the final sort.
+    cut = _kth_head(df, order, k) if k <= LANES * GROUP_LIMIT else None
+    if cut is None:
+        return global_rank(df, order, rank).where(F.col(rank) <= k)
+    head = df.where(_not_after(order, cut)).orderBy(*sort_columns(order)).limit(k)
+    return head.withColumn(rank, row_numbers([], order))
 
 
 def _kth_head(df: DataFrame, order: Sequence[str], k: int) -> Row | None:
     """The k-th row among the lane heads, or none when there are fewer."""
-    if k > LANES * GROUP_LIMIT:
-        return None
     keys = df.select(*[name.lstrip("-") for name in order])
     heads = _lane_heads(keys, [], order, GROUP_LIMIT)
     return heads.orderBy(*sort_columns(order)).offset(k - 1).limit(1).first()

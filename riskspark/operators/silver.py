@@ -14,8 +14,13 @@ def catalogue(feed: DataFrame) -> DataFrame:
 
     Call ``repartition`` on the result when the feed came as few large unsplittable files.
     """
-    records = feed.select(F.inline("vulnerabilities")).select("cve.*")
-    names = nested.platform_names()
+    records = (
+        feed.select(F.inline("vulnerabilities"))
+        .select("cve.*")
+        # flattened and split once for the three lists made from it
+        .withColumn("platform_parts", nested.platform_parts())
+    )
+    names = F.col("platform_parts")
     return records.select(
         nested.key("id").alias("cve_id"),
         nested.iso_timestamp("published").alias("published"),

@@ -94,7 +94,7 @@ def _doc_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _feed_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders written as nested JSON documents and read back through the feed reader."""
     path = scratch_path(spark, "feed")
-    views.order_feed_lines(spark, sf_dir).write.option("compression", "gzip").text(path)
+    views.order_feed_lines(spark, sf_dir).write.text(path)
     return silver.catalogue(feeds.read_catalogue_feed(spark, path, one_document_per_file=False))
 
 
