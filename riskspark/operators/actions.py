@@ -42,13 +42,14 @@ def action_scores(df: DataFrame) -> DataFrame:
 def attach_top_ids(df: DataFrame, groups: DataFrame, top_ids: int) -> DataFrame:
     """The ids of each group's best records, as a short list beside its aggregates.
 
-    Records travel only after they were cut to ``top_ids`` per group on the map side.
+    Records travel only after they were cut to ``top_ids`` per group on the map side. ``groups``
+    are groups of ``df``, so each finds its list.
     """
     records = name_groups(df).select(*GROUPS, "priority_score_final", "cve_id")
     best = top_k_per_group(
         records, GROUPS, ["-priority_score_final", "cve_id"], top_ids, "_nth"
     )
-    return groups.join(ranked_values(best, GROUPS, "cve_id", "_nth", "top_cves"), GROUPS, "left")
+    return groups.join(ranked_values(best, GROUPS, "cve_id", "_nth", "top_cves"), GROUPS)
 
 
 def build_actions(df: DataFrame, top_ids: int = K.ACTION_TOP_IDS) -> DataFrame:

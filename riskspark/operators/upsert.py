@@ -133,6 +133,24 @@ def _write_empty(
         ).parquet(f"{table}/{partition}={value}")
 
 
+def merge_versioned(
+    changes: DataFrame,
+    table: str,
+    first_year: int = K.FIRST_YEAR,
+    key: str = "cve_id",
+    target: str = "published_year",
+    **dedupe,
+) -> None:
+    """The same upsert as one MERGE, for a catalog table whose format supports it.
+
+    Needs a connector for such a format on the session; plain Parquet has none.
+    """
+    latest = within_window(latest_per_key(changes, key, **dedupe), first_year, target)
+    same_key = F.col(f"{table}.{key}") == F.col(f"changes.{key}")
+    merge = latest.alias("changes").mergeInto(table, same_key)
+    merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()
+
+
 def full_refresh(
     df: DataFrame,
     table: str,

@@ -458,6 +458,8 @@ WHERE year(published) = 1998""",
 SELECT DISTINCT make_date(year(published), 12, 31) AS snapshot_date FROM line
 ORDER BY snapshot_date DESC""",
     "settings_resolution": "SELECT 20 AS daily_capacity, 12 AS simulation_days",
-    "csv_export": f"WITH {LINE} SELECT cve_id, cvss_severity, is_kev, primary_vendor FROM line",
+    "csv_export": f"""WITH {LINE}
+SELECT cve_id, cvss_score, cvss_severity, epss_score, is_kev, primary_vendor, primary_product,
+       published FROM line""",
     "text_clean": f"SELECT CAST(doc_id AS VARCHAR) AS cve_id, {_CLEAN} AS clean_text FROM documents",
 }

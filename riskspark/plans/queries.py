@@ -470,12 +470,14 @@ def settings_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Export of the listed columns that exist, read back as text."""
+    """The record export, whose score columns this table lacks, read back by its header."""
     path = scratch_path(spark, "export")
-    columns = ["cve_id", "absent_column", "cvss_severity", "is_kev", "primary_vendor"]
-    sinks.export_csv(views.line_facts(spark, sf_dir), path, columns)
-    schema = "cve_id string, cvss_severity string, is_kev int, primary_vendor string"
-    return spark.read.schema(schema).option("header", True).csv(path)
+    serving.export(views.line_facts(spark, sf_dir), "vulnerabilities", path)
+    schema = (
+        "cve_id string, cvss_score double, cvss_severity string, epss_score double, is_kev int, "
+        "primary_vendor string, primary_product string, published timestamp_ntz"
+    )
+    return spark.read.schema(schema).options(header=True, enforceSchema=False).csv(path)
 
 
 # --- text and clustering ---------------------------------------------------------------------------

@@ -12,6 +12,7 @@ from riskspark.functions.predicates import matches
 from riskspark.operators.kpis import lookup
 from riskspark.operators.ranking import sort_columns, top_k
 from riskspark.plans.daily import Layout
+from riskspark.sources.sinks import export_csv
 from riskspark.sources.tables import (
     DateLike,
     at_snapshot,
@@ -29,6 +30,46 @@ RECOMMENDATION_ORDER = {
     "kev_first": ["-is_kev", "-priority_score_final", "-epss_score", "cve_id"],
     "hybrid": ["-is_kev", "-priority_score_final", "-epss_score", "cve_id"],
 }
+# fixed values: columns of each CSV export; those a table lacks are left out
+EXPORT_COLUMNS = {
+    "vulnerabilities": [
+        "cve_id",
+        "priority_score_final",
+        "priority_level_final",
+        "cvss_score",
+        "cvss_severity",
+        "epss_score",
+        "is_kev",
+        "primary_vendor",
+        "primary_product",
+        "published",
+    ],
+    "remediation_plan": [
+        "primary_vendor",
+        "primary_product",
+        "n_cves",
+        "n_kev",
+        "max_priority",
+        "mean_epss",
+        "action_score",
+        "max_epss",
+        "sum_priority",
+        "effort_proxy",
+        "top_cves",
+    ],
+    "capacity_strategy": [
+        "cve_id",
+        "priority_score_final",
+        "epss_score",
+        "is_kev",
+        "cvss_score",
+        "cluster_id",
+        "primary_vendor",
+        "primary_product",
+        "priority_level_final",
+        "cvss_severity",
+    ],
+}
 OVERVIEW_COLUMNS = ["cve_id", "is_kev", "epss_score", "priority_level_final", "cvss_severity"]
 CLUSTERS_BY_RISK = ["-kev_density", "-cluster_size", "cluster_id"]
 
@@ -67,6 +108,11 @@ def riskiest_clusters(overview: DataFrame, n: int = 5) -> DataFrame:
     return top_k(overview, CLUSTERS_BY_RISK, n)
 
 
+def export(df: DataFrame, view: str, path: str) -> int:
+    """One of the named exports as CSV."""
+    return export_csv(df, path, EXPORT_COLUMNS[view])
+
+
 class Serving:
     """The result tables under one root."""
 

@@ -25,6 +25,15 @@ def write_counted(df: DataFrame, write: Callable[[DataFrameWriter], None]) -> in
     return seen.get["rows"]
 
 
+def _by_partition(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows of one partition brought together into files of a sensible size.
+
+    Without it every task leaves a small file in every partition. Adaptive execution splits a
+    partition that holds a large share of the rows and merges small ones.
+    """
+    return df.hint("rebalance", *[F.col(name) for name in by]) if by else df
+
+
 def overwrite_partitions(
     df: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet", reset: bool = False
 ) -> int:
@@ -34,7 +43,7 @@ def overwrite_partitions(
     """
     mode = "static" if reset else "dynamic"
     return write_counted(
-        df,
+        _by_partition(df, by),
         lambda w: w.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", mode)
@@ -52,8 +61,7 @@ def write_snapshot(
     row) leaves nothing stale behind. ``single_file`` is for results of a few rows.
     """
     body = df.drop("snapshot_date")
-    if single_file:
-        body = body.coalesce(1)
+    body = body.coalesce(1) if single_file else _by_partition(body, by)
     return write_counted(
         body,
         lambda w: w.mode("overwrite")

@@ -4,7 +4,7 @@ import pytest
 
 from riskspark.operators import clustering, silver
 from riskspark.plans import daily
-from riskspark.plans.serving import Serving
+from riskspark.plans.serving import EXPORT_COLUMNS, Serving, export
 from riskspark.sources import feeds
 from riskspark.sources.tables import read_table
 
@@ -134,3 +134,12 @@ def test_rerun_of_a_day_replaces_it(spark, root):
     again = daily.build_gold(spark, tables, DATE, OPTIONS)
     assert again["vulnerability_scores_final"] == 24
     assert Serving(spark, root[0]).overview_stats(DATE).count() == 24
+
+
+def test_exports(spark, root, tmp_path):
+    serve = Serving(spark, root[0])
+    path = str(tmp_path / "plan")
+    assert export(serve.remediation_actions(2, DATE), "remediation_plan", path) == 2
+    back = spark.read.option("header", True).csv(path)
+    assert back.columns == EXPORT_COLUMNS["remediation_plan"]
+    assert all(len(r.top_cves.split("|")) == 5 for r in back.collect())
