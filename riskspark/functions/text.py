@@ -8,16 +8,25 @@ from pyspark.sql import Column, functions as F
 
 # fixed values: what is blanked out of lower-cased text, in this order
 NOISE_PATTERNS = (
-    r"\n",
     r"http\S+",
     r"cve-\d{4}-\d+",
     r"0x[0-9a-f]+",
-    r"[^a-zA-Z\s]",
-    r"\s+",
+    r"[^a-zA-Z]+",
 )
 
 
 def clean_text(text: Column, max_chars: int | None = None) -> Column:
-    """Lower-case letters and single spaces. The whole text, unless ``max_chars`` cuts it first."""
+    """Lower-case letters and single spaces. The whole text, unless ``max_chars`` cuts it first.
+
+    The last pattern takes a run of blanks, line breaks and other signs in one step.
+    """
     head = text if max_chars is None else F.substring(text, 1, max_chars)
     return reduce(lambda acc, p: F.regexp_replace(acc, p, " "), NOISE_PATTERNS, F.lower(head))
+
+
+def words(clean: Column, stop_words: list[str], min_length: int) -> Column:
+    """Words of ``clean_text``, in order and with repeats, without short ones and stop words."""
+    return F.filter(
+        F.split(clean, " "),
+        lambda word: (F.length(word) >= min_length) & ~word.isin(stop_words),
+    )

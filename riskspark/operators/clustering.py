@@ -15,7 +15,6 @@ from pyspark.ml.feature import (
     PCA,
     CountVectorizer,
     CountVectorizerModel,
-    RegexTokenizer,
     StopWordsRemover,
     VectorAssembler,
 )
@@ -25,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskspark import constants as K, schemas
 from riskspark.functions import scores
-from riskspark.functions.text import clean_text
+from riskspark.functions.text import clean_text, words
 from riskspark.operators.ranking import ranked_values, top_k_per_group, top_values
 from riskspark.sources.workdir import stage_table
 
@@ -67,14 +66,8 @@ def prepare_text(df: DataFrame, max_chars: int | None = None) -> DataFrame:
 def words_of(prepared: DataFrame) -> DataFrame:
     """The clean text as a list of words that can tell clusters apart (M2, M3)."""
     stop_words = StopWordsRemover.loadDefaultStopWords("english") + K.DOMAIN_STOP_WORDS
-    tokens = RegexTokenizer(
-        inputCol="clean_text",
-        outputCol="tokens",
-        pattern=r"\W+",
-        minTokenLength=K.MIN_TOKEN_LENGTH,
-    ).transform(prepared)
-    remover = StopWordsRemover(inputCol="tokens", outputCol="words", stopWords=stop_words)
-    return remover.transform(tokens).drop("clean_text", "tokens")
+    kept = words(F.col("clean_text"), stop_words, K.MIN_TOKEN_LENGTH)
+    return prepared.withColumn("words", kept).drop("clean_text")
 
 
 def text_stages(settings: FeatureSettings) -> list:
@@ -122,12 +115,12 @@ def build_features(
     Texts are split into words once; words and assembled vectors are written out, as fitting reads
     them several times. The result keeps only the columns that clustering and topics need.
     """
-    words = stage_table(words_of(prepared), "words")
+    worded = stage_table(words_of(prepared), "words")
     stages = text_stages(settings) + category_stages(settings) + assembly_stages()
-    model = Pipeline(stages=stages).fit(words)
+    model = Pipeline(stages=stages).fit(worded)
     counters = [stage for stage in model.stages if isinstance(stage, CountVectorizerModel)]
     assembled = stage_table(
-        model.transform(words).select(
+        model.transform(worded).select(
             KEY, "assembled", "tfidf", "cwes", "cpe_vendors", "is_kev"
         ),
         "features",
