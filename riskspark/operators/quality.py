@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from riskspark.operators.ranking import quantile
 from riskspark.sources.tables import DateLike, as_date
 
 
@@ -15,14 +16,14 @@ def _missing(values: str) -> Column:
     return F.col(values).isNull() | (F.size(values) == 0)
 
 
-def summary(df: DataFrame, snapshot_date: DateLike, accuracy: int = 10_000) -> DataFrame:
+def summary(df: DataFrame, snapshot_date: DateLike) -> DataFrame:
     """The whole profile in one row.
 
     ``pct_null_epss`` counts zero probabilities, the filled form of "no probability known".
-    The median is approximate above ``accuracy`` rows, in bounded memory. Distinct keys are counted
-    by a subquery over the key column: inside the same aggregation every key would carry its own
-    quantile sketch through the shuffle.
+    Distinct keys and the median each need a shuffle of one column and are subqueries over it; all
+    else is one aggregation that combines on the map side.
     """
+    median = quantile(df, "epss_score", 0.5).scalar()
     distinct_keys = df.agg(F.count_distinct("cve_id").alias("n")).scalar()
     flagged = F.col("is_kev") == 1
     scored = F.col("epss_score") > 0.0
@@ -35,17 +36,21 @@ def summary(df: DataFrame, snapshot_date: DateLike, accuracy: int = 10_000) -> D
         _percent(F.col("epss_score") > 0.7).alias("pct_epss_gt_07"),
         _percent(F.col("epss_score") > 0.9).alias("pct_epss_gt_09"),
         F.avg("epss_score").alias("mean_epss"),
-        F.percentile_approx("epss_score", 0.5, accuracy).alias("median_epss"),
         F.sum(F.col("is_kev").cast("long")).alias("kev_count"),
         F.count_if(flagged).alias("nvd_kev_intersection"),
         F.count_if(scored).alias("nvd_epss_intersection"),
         F.count_if(flagged & scored).alias("nvd_kev_epss_intersection"),
     )
+    first = ["row_count"]
+    last = profile.columns[profile.columns.index("kev_count") :]
+    shares = [name for name in profile.columns if name not in first + last]
     return profile.select(
         as_date(snapshot_date).alias("snapshot_date"),
-        "row_count",
+        *first,
         distinct_keys.alias("distinct_cve_count"),
-        *[name for name in profile.columns if name != "row_count"],
+        *shares,
+        median.alias("median_epss"),
+        *last,
     )
 
 

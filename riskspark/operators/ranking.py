@@ -6,6 +6,7 @@ end in a unique column for results to be repeatable.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Row, Window as W, functions as F
@@ -140,14 +141,49 @@ def group_rank(
     """Exact 1-based position of every row in its group, however large the group is.
 
     One global sort by group and order splits a hot group over many tasks; a row's position in its
-    group is its global position minus that of the group's first row. Groups must not be null.
+    group is its global position minus that of the group's first row. Null is a group of its own.
     """
     ranked = global_rank(df, [*groups, *order], "_global")
-    firsts = stage_table(ranked.groupBy(*groups).agg(F.min("_global").alias("_first")), "firsts")
+    names = {group: f"_of_{group}" for group in groups}
+    firsts = stage_table(
+        ranked.groupBy(*[F.col(group).alias(name) for group, name in names.items()]).agg(
+            F.min("_global").alias("_first")
+        ),
+        "firsts",
+    )
+    same_group = [F.col(group).eqNullSafe(F.col(name)) for group, name in names.items()]
     return (
-        ranked.join(firsts, list(groups))
+        ranked.join(firsts, same_group)
         .withColumn(rank, F.col("_global") - F.col("_first") + 1)
-        .drop("_global", "_first")
+        .drop("_global", "_first", *names.values())
+    )
+
+
+def quantile(df: DataFrame, column: str, p: float) -> DataFrame:
+    """The smallest value that at least a share p of the non-null values does not exceed.
+
+    Exact. Equal values are counted on the map side and the counts sorted by range, so no task
+    sees all values, nor one sketch per input partition. One row, null when there are no values.
+    """
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    run = F.shiftright(F.monotonically_increasing_id(), 33)
+    placed = stage_table(counts.orderBy(column).withColumn("_run", run), "values")
+    # one row per sort partition: bounded by spark.sql.shuffle.partitions
+    runs = placed.groupBy("_run").agg(F.sum("_n").alias("n")).orderBy("_run").collect()
+    wanted = math.ceil(p * sum(r["n"] for r in runs))
+    before, within = 0, None
+    for within in runs:
+        if before + within["n"] >= wanted:
+            break
+        before += within["n"]
+    inside = placed.where(F.col("_run") == (within["_run"] if within else -1))
+    so_far = F.sum("_n").over(W.orderBy(column)) + before  # one run of distinct values
+    return (
+        inside.withColumn("_so_far", so_far)
+        .where(F.col("_so_far") >= wanted)
+        .agg(F.min(column).alias("value"))
     )
 
 

@@ -21,6 +21,7 @@ from riskspark.operators import (
 from riskspark.sources.sinks import overwrite_partitions, write_by_strategy, write_snapshot
 from riskspark.sources.tables import (
     DateLike,
+    at_snapshot,
     read_snapshot,
     read_table,
     snapshot_as_of,
@@ -137,7 +138,7 @@ def build_gold(
         tables.gold("remediation_recommendations"),
         date,
     )
-    chosen = read_snapshot(spark, tables.gold("remediation_recommendations"), date)
+    chosen = at_snapshot(read_table(spark, tables.gold("remediation_recommendations")), date)
     settings = (options.capacity, options.days, options.arrivals)
     publish(
         "strategy_comparison", selection.compare_strategies(final, chosen, *settings), small=True

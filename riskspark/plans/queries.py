@@ -28,10 +28,11 @@ from riskspark.plans import serving, views
 from riskspark.plans.views import DOC_DATE, LINE_DATE
 from riskspark.sources import feeds, sinks
 from riskspark.sources.tables import (
+    at_snapshot,
     available_snapshots,
+    find_snapshot,
     read_snapshot,
     read_table,
-    resolve_snapshot,
     snapshot_as_of,
 )
 from riskspark.sources.workdir import scratch_path, stage_table
@@ -202,8 +203,7 @@ def quality_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
             views.doc_catalogue(spark, sf_dir), views.doc_exploited(spark, sf_dir), known, date
         )
         sinks.write_snapshot(quality.summary(records, date), path, date, single_file=True)
-    profiles = read_table(spark, path)
-    latest = resolve_snapshot(profiles, "1999-01-01")
+    latest = find_snapshot(spark, path)
     return _rounded(read_snapshot(spark, path, latest), "mean_epss")
 
 
@@ -397,7 +397,7 @@ def recommendations_by_strategy(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "recommendations")
     selected = selection.select_all(_line_selectable(spark, sf_dir))
     sinks.write_by_strategy(selected, path, LINE_DATE)
-    stored = read_snapshot(spark, path, LINE_DATE)
+    stored = at_snapshot(read_table(spark, path), LINE_DATE)
     shown = [serving.recommendations(stored, name, 20) for name in K.STRATEGIES]
     return reduce(DataFrame.unionByName, shown).select(
         "strategy", "cve_id", "is_kev", "epss_score", "priority_score_final"
@@ -451,7 +451,7 @@ def write_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def read_one_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _written_snapshots(spark, sf_dir)
-    found = resolve_snapshot(read_table(spark, path), "1998-12-31")
+    found = find_snapshot(spark, path, "1998-12-31")
     return read_snapshot(spark, path, found).select("cve_id", "cvss_score", "snapshot_date")
 
 

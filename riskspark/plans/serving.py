@@ -17,6 +17,8 @@ from riskspark.sources.tables import (
     DateLike,
     at_snapshot,
     available_snapshots,
+    find_snapshot,
+    read_snapshot,
     read_table,
     resolve_snapshot,
     table_exists,
@@ -121,9 +123,11 @@ class Serving:
         self.tables = Layout(root)
 
     def _snapshot(self, name: str, date: DateLike | None) -> DataFrame:
-        df = read_table(self.spark, self.tables.gold(name), merge_schema=True)
-        found = resolve_snapshot(df, date)
-        return df.limit(0) if found is None else at_snapshot(df, found)
+        path = self.tables.gold(name)
+        found = find_snapshot(self.spark, path, date)
+        if found is None:
+            return read_table(self.spark, path).limit(0)
+        return read_snapshot(self.spark, path, found, merge_schema=True)
 
     def overview_stats(self, date: DateLike | None = None) -> DataFrame:
         return self._snapshot("vulnerability_scores_final", date).select(OVERVIEW_COLUMNS)
@@ -151,7 +155,7 @@ class Serving:
         path = self.tables.gold("cluster_topics")
         topics = None
         if table_exists(self.spark, path):
-            topics = at_snapshot(read_table(self.spark, path), found[0])
+            topics = read_snapshot(self.spark, path, found[0])
         return clusters_with_topics(risk, topics)
 
     def strategy_comparison(self, snapshot_date: DateLike | None = None) -> DataFrame:

@@ -40,9 +40,18 @@ def at_snapshot(df: DataFrame, date: DateLike, column: str = "snapshot_date") ->
 
 
 def read_snapshot(
-    spark: SparkSession, path: str, date: DateLike, column: str = "snapshot_date"
+    spark: SparkSession, path: str, date: DateLike, merge_schema: bool = False
 ) -> DataFrame:
-    return at_snapshot(read_table(spark, path), date, column)
+    """One snapshot of a table that has the snapshot as its outer folder.
+
+    Only that folder is listed, and only its files are asked for their schema, however many
+    snapshots the table holds. A snapshot that is not there has no rows.
+    """
+    folder = f"{path}/snapshot_date={str(date)[:10]}"
+    if not table_exists(spark, folder):
+        return at_snapshot(read_table(spark, path), date)
+    reader = spark.read.option("basePath", path).option("mergeSchema", merge_schema)
+    return reader.parquet(folder)
 
 
 def available_snapshots(df: DataFrame, column: str = "snapshot_date") -> DataFrame:
@@ -66,6 +75,15 @@ def resolve_snapshot(
     return latest_snapshot(df, column)
 
 
+def find_snapshot(
+    spark: SparkSession, path: str, requested: DateLike | None = None
+) -> dt.date | None:
+    """As ``resolve_snapshot``, for a table folder; looks at the others only if it has to."""
+    if requested is not None and not read_snapshot(spark, path, requested).isEmpty():
+        return dt.date.fromisoformat(str(requested)[:10])
+    return latest_snapshot(read_table(spark, path))
+
+
 def job_snapshot(df: DataFrame, requested: DateLike, column: str = "snapshot_date") -> dt.date:
     """As ``resolve_snapshot``, but an empty table keeps the requested date."""
     return resolve_snapshot(df, requested, column) or dt.date.fromisoformat(str(requested)[:10])

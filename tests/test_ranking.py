@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -91,6 +92,29 @@ def test_group_rank_of_a_hot_group(skewed):
     assert {r.key: r["rank"] for r in ranked.collect()} == _ranks_in_group(rows)
 
 
+def test_null_is_a_group_of_its_own(spark):
+    df = spark.createDataFrame(
+        [(None, "a"), (None, "b"), ("g", "c"), (None, "d")], "grp string, key string"
+    )
+    got = {r.key: r["rank"] for r in ranking.group_rank(df, ["grp"], ["key"], "rank").collect()}
+    assert got == {"a": 1, "b": 2, "c": 1, "d": 3}
+
+
+@pytest.mark.parametrize("p", [0.0, 0.1, 0.5, 0.73, 1.0])
+def test_quantile(skewed, spark, p):
+    df, rows = skewed
+    spread = df.withColumn("score", F.col("score") + F.xxhash64("key") % 97)
+    for frame in (df, spread, df.where("key < 'k00003'")):
+        values = sorted(r.score for r in frame.collect() if r.score is not None)
+        want = values[max(0, math.ceil(p * len(values)) - 1)]
+        assert ranking.quantile(frame, "score", p).first().value == want
+
+
+def test_quantile_of_nothing(skewed):
+    df, _ = skewed
+    assert ranking.quantile(df.limit(0), "score", 0.5).first().value is None
+
+
 @pytest.mark.parametrize("few_groups", [False, True])
 @pytest.mark.parametrize("limit", [1000, 10])
 def test_top_k_per_group(skewed, monkeypatch, limit, few_groups):

@@ -132,3 +132,24 @@ def test_work_tables_live_in_the_configured_folder(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
     staged = stage_table(spark.range(5), "x")
     assert staged.count() == 5 and configured in staged.inputFiles()[0]
+
+
+def test_one_snapshot_is_read_from_its_folder(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_snapshot(spark.range(3), path, "2026-05-01")
+    sinks.write_snapshot(spark.range(5).withColumn("extra", F.lit(1)), path, "2026-05-02")
+    one = tables.read_snapshot(spark, path, DAY(2026, 5, 2))
+    assert (one.count(), one.columns) == (5, ["id", "extra", "snapshot_date"])
+    assert one.first().snapshot_date == DAY(2026, 5, 2)
+    assert all("snapshot_date=2026-05-02" in name for name in one.inputFiles())
+    assert tables.read_snapshot(spark, path, "2026-05-09").count() == 0
+
+
+def test_finding_a_snapshot(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_snapshot(spark.range(3), path, "2026-05-01")
+    sinks.write_snapshot(spark.range(3), path, "2026-05-03")
+    sinks.write_snapshot(spark.range(0), path, "2026-05-02")
+    assert tables.find_snapshot(spark, path, "2026-05-01") == DAY(2026, 5, 1)
+    assert tables.find_snapshot(spark, path, "2026-05-02") == DAY(2026, 5, 3)
+    assert tables.find_snapshot(spark, path) == DAY(2026, 5, 3)
