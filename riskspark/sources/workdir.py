@@ -2,30 +2,27 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_fallback: dict[str, str] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """This application's part of the folder named by ``spark.checkpoint.dir``.
 
-    Only a single-machine session may go without the setting; it then gets a folder of its own.
+    Where the setting is missing, the warehouse stands in for it: the other folder that a session
+    has in common with its executors. The part is removed when the application ends.
     """
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        root = configured
-    elif context.master.startswith("local"):
-        root = _local_fallback.setdefault(
-            context.applicationId, tempfile.mkdtemp(prefix="riskspark-")
-        )
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return f"{root.rstrip('/')}/riskspark/{context.applicationId}"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+    folder = f"{root.rstrip('/')}/riskspark/{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return folder
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
