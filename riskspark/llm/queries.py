@@ -6,17 +6,48 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskspark.llm import simhash
+from riskspark.llm import packing, simhash, substring_dedup
 from riskspark.llm.common import read_table
 
 
+def op1_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
+def op3_seed_extend_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sum_of_squares_packing": op1_sum_of_squares_packing,
+    "op3_seed_extend_dedup": op3_seed_extend_dedup,
     "op10_simhash": op10_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_seed_extend_dedup": r"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, list_slice(w, i, i + 49) AS seq
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM words WHERE len(w) >= 50)
+), firsts AS (
+    SELECT seq, min(doc_id) AS first_doc FROM windows GROUP BY seq
+), cut AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS j
+    FROM windows JOIN firsts USING (seq) WHERE first_doc < doc_id
+), cuts AS (
+    SELECT doc_id, list(j) AS js FROM cut GROUP BY doc_id
+), kept AS (
+    SELECT doc_id, len(w) AS n, [w[k] FOR k IN range(1, len(w) + 1) IF js IS NULL OR NOT list_contains(js, k)] AS k
+    FROM words LEFT JOIN cuts USING (doc_id)
+)
+SELECT doc_id, n AS n_words, n - len(k) AS n_removed, sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept
+""",
+}
