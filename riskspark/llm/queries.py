@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskspark.llm import packing, simhash, substring_dedup
-from riskspark.llm.common import read_table
+from riskspark.llm import language_id, packing, simhash, substring_dedup, toxicity
+from riskspark.llm.common import crc_mod, read_table
 
 
 def op1_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,20 @@ def op3_seed_extend_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_segment_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(crc_mod("doc_id", 3) != 1))
+    held_out = F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out")
+    return toxicity.score(docs, model).select("doc_id", held_out, "score", "predicted", "passages")
+
+
+def op9_naive_bayes_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = language_id.train(docs.where(crc_mod("doc_id", 4) != 2))
+    held_out = F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out")
+    return language_id.predict(docs, model).select("doc_id", held_out, "lang_pred", "score")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -27,6 +41,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sum_of_squares_packing": op1_sum_of_squares_packing,
     "op3_seed_extend_dedup": op3_seed_extend_dedup,
+    "op5_segment_toxicity": op5_segment_toxicity,
+    "op9_naive_bayes_language": op9_naive_bayes_language,
     "op10_simhash": op10_simhash,
 }
 
