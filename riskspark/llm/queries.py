@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskspark.llm import language_id, packing, simhash, substring_dedup, toxicity
+from riskspark.llm import (
+    decontaminate,
+    fingerprints,
+    language_id,
+    license_scan,
+    packing,
+    simhash,
+    substring_dedup,
+    toxicity,
+)
 from riskspark.llm.common import crc_mod, read_table
 
 
@@ -26,6 +35,28 @@ def op5_segment_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out, "score", "predicted", "passages")
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read_table(spark, sf_dir, "documents"))
+
+
+def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.fingerprint_edits(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.digest(F.col("own")).alias("fingerprint"),
+        fingerprints.digest(F.col("other")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
+def op8_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    return decontaminate.contaminated(docs, benchmark)
+
+
 def op9_naive_bayes_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = language_id.train(docs.where(crc_mod("doc_id", 4) != 2))
@@ -42,6 +73,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sum_of_squares_packing": op1_sum_of_squares_packing,
     "op3_seed_extend_dedup": op3_seed_extend_dedup,
     "op5_segment_toxicity": op5_segment_toxicity,
+    "op6_license_scan": op6_license_scan,
+    "op7_winnowing": op7_winnowing,
+    "op8_spaced_seed_decontamination": op8_spaced_seed_decontamination,
     "op9_naive_bayes_language": op9_naive_bayes_language,
     "op10_simhash": op10_simhash,
 }
