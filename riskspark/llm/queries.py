@@ -12,6 +12,7 @@ from riskspark.llm import (
     language_id,
     license_scan,
     packing,
+    pii,
     simhash,
     substring_dedup,
     toxicity,
@@ -28,6 +29,20 @@ def op3_seed_extend_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op4_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.with_spans(read_table(spark, sf_dir, "documents"))
+    of_kind = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    joined = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+    )
+    return found.select(
+        "doc_id",
+        *[of_kind(kind).alias(f"n_{kind}") for kind in pii.BASE_KINDS],
+        F.sha2(joined("base"), 256).alias("base_sha256"),
+        joined("spans").alias("spans"),
+    )
+
+
 def op5_segment_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     model = toxicity.train(docs, labels.where(crc_mod("doc_id", 3) != 1))
@@ -72,6 +87,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sum_of_squares_packing": op1_sum_of_squares_packing,
     "op3_seed_extend_dedup": op3_seed_extend_dedup,
+    "op4_crf_pii": op4_crf_pii,
     "op5_segment_toxicity": op5_segment_toxicity,
     "op6_license_scan": op6_license_scan,
     "op7_winnowing": op7_winnowing,
