@@ -459,7 +459,7 @@ def redact(docs: DataFrame, field: ChainField | None = None) -> DataFrame:
         return F.concat(state["out"], rest)
 
     text = F.when(F.size("spans") > 0, F.aggregate("spans", step, replace, finish)).otherwise(F.col("text"))
-    columns = {c: F.col(c) for c in docs.columns} | {"text": text.alias("text")}
-    if "n_chars" in columns:
-        columns["n_chars"] = F.length(text).cast(dict(docs.dtypes)["n_chars"]).alias("n_chars")
-    return marked.select(*columns.values())
+    done = marked.withColumn("__redacted", text).drop("text").withColumnRenamed("__redacted", "text")
+    if "n_chars" in docs.columns:
+        done = done.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
+    return done.select(*docs.columns)
