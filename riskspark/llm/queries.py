@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from riskspark.llm import (
     decontaminate,
     fingerprints,
+    html_extract,
     language_id,
     license_scan,
     packing,
@@ -24,6 +25,10 @@ def op1_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op2_tree_model_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op3_seed_extend_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -86,6 +91,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sum_of_squares_packing": op1_sum_of_squares_packing,
+    "op2_tree_model_html": op2_tree_model_html,
     "op3_seed_extend_dedup": op3_seed_extend_dedup,
     "op4_crf_pii": op4_crf_pii,
     "op5_segment_toxicity": op5_segment_toxicity,
