@@ -2,21 +2,22 @@
 
 A seed looks at five words of a span and ignores the others, so a substituted word inside the span
 does not break it. Every position of every document is hashed under every mask and joined with the
-hashes of the benchmark; a hit fixes how document and item lie against each other. Then item and
-document are compared word by word in each such position, and the overlap counts if a window of
-``window`` words (the whole item if it is shorter) agrees in at least ``similarity`` of its places.
-
-The benchmark's seeds are broadcast only if a count shows that they are at most ``MAX_BROADCAST``
-rows; else the benchmark is gone through in parts of that size, each against all documents. The
-positions that had a hit are written out, so the planner knows their size when it joins them back:
-it sends them to the documents if they are few and shuffles both if they are not.
+hashes of the benchmark; a hit fixes how document and item lie against each other. Item and document
+are then compared word by word in that position, and the overlap counts if a window of ``window``
+words (the whole item if it is shorter) agrees in at least ``similarity`` of its places.
+
+Before the join a bitmap of the benchmark's hashes takes out the positions that cannot meet any, a
+row at a time, so only a few positions become rows and can carry their document's words with them:
+no text is shuffled. The benchmark's seeds are broadcast only if a count shows that they are at most
+``MAX_BROADCAST`` rows; else the benchmark is gone through in parts of that size, each against all
+documents.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskspark.llm.native import gram_hash, plain_words, word_ids
+from riskspark.llm.native import bitmap, gram_hash, in_bitmap, plain_words, word_ids
 from riskspark.sources.workdir import stage_table
 
 #: Places that a seed looks at. One of them hits 15 or 20 words with a fifth substituted at random.
@@ -28,19 +29,23 @@ SIMILARITY = 0.8
 MAX_BROADCAST = 500_000
 
 
-def _seeds(df: DataFrame, ids: str, keep: list[str]) -> DataFrame:
-    """The columns ``keep``, position ``at`` from 0 and ``seed``: one row per position and mask.
+def _seed_array(ids: Column) -> Column:
+    """Hashes under every mask of every position, position by position.
 
-    Only these narrow rows are made; the array itself does not travel with them. Near the end of a
-    text a mask may reach past it: such a seed stands for the words it still sees.
+    Near the end of a text a mask may reach past it: such a seed stands for the words it still sees.
     """
-    each = F.transform(
-        F.sequence(F.lit(0), F.size(ids) - SHORTEST),
-        lambda at: F.array(*[F.xxhash64(F.lit(i), gram_hash(F.col(ids), at, mask)) for i, mask in enumerate(MASKS)]),
+    many = F.flatten(
+        F.transform(
+            F.sequence(F.lit(0), F.size(ids) - SHORTEST),
+            lambda at: F.array(*[F.xxhash64(F.lit(i), gram_hash(ids, at, mask)) for i, mask in enumerate(MASKS)]),
+        )
     )
-    long_enough = df.where(F.size(ids) >= SHORTEST)
-    placed = long_enough.select(*keep, F.posexplode(F.flatten(each)).alias("pos", "seed"))
-    return placed.select(*keep, F.floor(F.col("pos") / len(MASKS)).cast("int").alias("at"), "seed")
+    # a condition here and not on the rows: a filter would compute the words once more
+    return F.when(F.size(ids) >= SHORTEST, many)
+
+
+def _position(index: Column) -> Column:
+    return F.floor(index / len(MASKS)).cast("int")
 
 
 def _agreement(item: Column, doc: Column) -> Column:
@@ -74,29 +79,37 @@ def contaminated(
         "item_id", word_ids(plain_words(F.col("text"))).alias("item_ids")
     )
     items = items.where(F.size("item_ids") >= SHORTEST).distinct()
-    items = stage_table(items.withColumn("item", F.xxhash64("item_id", "item_ids")), "items")
-    seeds = _seeds(items, "item_ids", ["item"]).withColumnRenamed("at", "item_at")
-    seeds = stage_table(seeds, "seeds")
-    parts = max(1, -(-seeds.count() // MAX_BROADCAST))
-    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), word_ids(plain_words(F.col("text"))).alias("ids"))
-    positions = None
-    for part in range(parts):
-        few = seeds.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == part)
-        hits = _seeds(texts, "ids", ["doc_id", "text_hash"]).join(F.broadcast(few), "seed")
-        hits = hits.groupBy("doc_id", "text_hash", "item", (F.col("at") - F.col("item_at")).alias("place")).agg(
-            F.count_distinct("at").alias("hits")
-        )
-        positions = hits if positions is None else positions.union(hits)
-    positions = positions.join(items, "item").select(
-        F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__text"), "item_id", "item_ids", "place", "hits"
+    items = items.withColumn("item", F.xxhash64("item_id", "item_ids"))
+    placed = items.select("item_id", "item_ids", "item", F.posexplode(_seed_array(F.col("item_ids"))).alias("pos", "seed"))
+    seeds = stage_table(
+        placed.select("item_id", "item_ids", "item", _position(F.col("pos")).alias("item_at"), "seed"), "seeds"
     )
-    positions = stage_table(positions, "positions")
-    met = texts.join(
-        positions, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("text_hash") == F.col("__text"))
+    count = seeds.count()
+    parts = max(1, -(-count // MAX_BROADCAST))
+    texts = docs.select("doc_id", word_ids(plain_words(F.col("text"))).alias("ids"))
+    found = None
+    for part in range(parts):
+        few = seeds.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == part).drop("item")
+        hits = _met(texts, few, min(22, max(16, (64 * count // parts).bit_length())))
+        hits = _verified(hits, window, similarity)
+        found = hits if found is None else found.union(hits)
+    return found.groupBy("doc_id", "item_id", "place").agg(
+        F.max("matched").alias("matched"), F.min("compared").alias("compared"), F.count_distinct("at").alias("hits")
     )
-    return _verified(met, window, similarity).groupBy("doc_id", "item_id", "place").agg(
-        F.max("matched").alias("matched"), F.min("compared").alias("compared"), F.max("hits").alias("hits")
+
+
+def _met(texts: DataFrame, seeds: DataFrame, bits: int) -> DataFrame:
+    """Positions of texts that share a seed with an item, with the words of both."""
+    hashed = texts.withColumn("hashes", _seed_array(F.col("ids"))).withColumn("bits_set", bitmap(seeds, "seed", bits))
+    likely = F.filter(
+        F.transform("hashes", lambda seed, pos: F.struct(pos.alias("pos"), seed.alias("seed"))),
+        lambda entry: in_bitmap(F.col("bits_set"), entry["seed"], bits),
     )
+    # the expression itself, not a column of it: for a column the optimizer adds a filter that it
+    # would compute from the text once more for every word
+    rows = hashed.select("doc_id", "ids", F.inline(likely))
+    rows = rows.select("doc_id", "ids", _position(F.col("pos")).alias("at"), "seed")
+    return rows.join(F.broadcast(seeds), "seed").withColumn("place", F.col("at") - F.col("item_at"))
 
 
 def _verified(met: DataFrame, window: int, similarity: float) -> DataFrame:
@@ -110,7 +123,7 @@ def _verified(met: DataFrame, window: int, similarity: float) -> DataFrame:
         "doc_id",
         "item_id",
         "place",
-        "hits",
+        "at",
         width.alias("compared"),
         F.ceil(width * similarity).alias("needed"),
         agreement.alias("agreement"),

@@ -114,8 +114,10 @@ def license_spans(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMP
     runs = F.transform(
         F.sequence(F.lit(0), F.size("ids") - GRAM), lambda at: gram_hash(F.col("ids"), at, tuple(range(GRAM)))
     )
-    # only a place and a hash go on from here, not the array
-    placed = ids.where(F.size("ids") >= GRAM).select("doc_id", "text_hash", F.posexplode(runs).alias("at", "hash"))
+    # only a place and a hash go on from here, not the array; the condition is no filter on the rows,
+    # which would compute the words once more
+    runs = F.when(F.size("ids") >= GRAM, runs)
+    placed = ids.select("doc_id", "text_hash", F.posexplode(runs).alias("at", "hash"))
     votes = (
         placed
         .join(known, "hash")
