@@ -27,12 +27,8 @@ ARRIVALS_PER_DAY = 150
 STRATEGIES = ("top_priority", "high_epss", "cluster_based", "kev_first", "hybrid")
 NO_CLUSTER = -1
 
-# --- fixed values: catalogue window and nested-list bounds ----------------------
+# --- fixed values: catalogue window ---------------------------------------------
 FIRST_YEAR = 2015
-MAX_CONFIGURATIONS = 20
-MAX_NODES = 20
-MAX_MATCHES = 200
-MAX_LIST_VALUES = 500
 
 # --- fixed values: grouped actions ----------------------------------------------
 UNKNOWN_GROUP = "unknown"
@@ -40,6 +36,8 @@ ACTION_TOP_IDS = 5
 
 # --- fixed values: text features and clustering ---------------------------------
 CLUSTER_COUNTS = (4, 6, 8, 10, 12)
+#: No limit: the largest size that the counters take.
+WHOLE_VOCABULARY = 2**31 - 1
 VOCABULARY_SIZE = 500
 MIN_DOCUMENTS = 20
 CATEGORY_VOCABULARY_SIZE = 30
@@ -52,16 +50,11 @@ TOP_KEYWORDS = 10
 TOP_VALUES = 5
 
 # --- fixed values: words too common in the domain to describe a cluster ---------
-DOMAIN_STOP_WORDS = """
-    vulnerability vulnerabilities affected affects
-    issue issues allows attacker attack
-    remote local authenticated unauthenticated
-    successful exploitation exploit exploited
-    crafted malicious user users
-    version versions prior before
-    following resolved kernel linux
-    trace call task error warning
-    function file system data
-    may could can using used
-    product products component
-""".split()
+DOMAIN_STOP_WORDS = (
+    "vulnerability", "vulnerabilities", "affected", "affects", "issue", "issues", "allows",
+    "attacker", "attack", "remote", "local", "authenticated", "unauthenticated", "successful",
+    "exploitation", "exploit", "exploited", "crafted", "malicious", "user", "users", "version",
+    "versions", "prior", "before", "following", "resolved", "kernel", "linux", "trace", "call",
+    "task", "error", "warning", "function", "file", "system", "data", "may", "could", "can",
+    "using", "used", "product", "products", "component",
+)

@@ -7,8 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from riskspark import constants as K
-
 # fixed values: metric lists in order of preference, with the version label of each
 METRIC_VERSIONS = (
     ("cvssMetricV40", "v4.0"),
@@ -54,19 +52,15 @@ def weakness_ids() -> Column:
 
 
 def platform_names() -> Column:
-    """All platform names of a record, each nesting level bounded before it is flattened."""
+    """All platform names of a record, of every configuration, node and match."""
 
     def of_node(node: Column) -> Column:
-        return F.transform(
-            F.slice(node["cpeMatch"], 1, K.MAX_MATCHES), lambda match: match["criteria"]
-        )
+        return F.transform(node["cpeMatch"], lambda match: match["criteria"])
 
     def of_configuration(configuration: Column) -> Column:
-        return F.flatten(F.transform(F.slice(configuration["nodes"], 1, K.MAX_NODES), of_node))
+        return F.flatten(F.transform(configuration["nodes"], of_node))
 
-    return F.flatten(
-        F.transform(F.slice("configurations", 1, K.MAX_CONFIGURATIONS), of_configuration)
-    )
+    return F.flatten(F.transform("configurations", of_configuration))
 
 
 def platform_parts() -> Column:
@@ -78,7 +72,7 @@ def platform_values(parts: Column, field: str) -> Column:
     """Distinct values of one field of split platform names."""
     position = F.lit(CPE_FIELDS[field])
     picked = F.transform(parts, lambda fields: F.get(fields, position))
-    return F.slice(F.array_distinct(picked), 1, K.MAX_LIST_VALUES)
+    return F.array_distinct(picked)
 
 
 def reference_count() -> Column:

@@ -10,8 +10,9 @@ from riskspark import constants as K
 
 
 def number(column: str, kind: str = "double", default: float = 0) -> Column:
-    """Untrusted input as a number, ``default`` where it is missing or not numeric."""
-    return F.coalesce(F.col(column).try_cast(kind), F.lit(default).cast(kind))
+    """Untrusted input as a number, ``default`` where it is missing, not numeric or not a number."""
+    value = F.col(column).try_cast("double")
+    return F.coalesce(F.when(~F.isnan(value), value).try_cast(kind), F.lit(default).cast(kind))
 
 
 def level(score: Column) -> Column:
@@ -28,7 +29,7 @@ def level(score: Column) -> Column:
 def level_of_any(value: Column) -> Column:
     """Level of a value of any type; what is not a number has an unknown level."""
     parsed = value.try_cast("double")
-    return F.when(parsed.isNull(), "Unknown").otherwise(level(parsed))
+    return F.when(parsed.isNull() | F.isnan(parsed), "Unknown").otherwise(level(parsed))
 
 
 def recency(published: Column, as_of: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -15,18 +16,17 @@ NOISE_PATTERNS = (
 )
 
 
-def clean_text(text: Column, max_chars: int | None = None) -> Column:
-    """Lower-case letters and single spaces. The whole text, unless ``max_chars`` cuts it first.
+def clean_text(text: Column) -> Column:
+    """Lower-case letters and single spaces, of the whole text.
 
     The last pattern takes a run of blanks, line breaks and other signs in one step.
     """
-    head = text if max_chars is None else F.substring(text, 1, max_chars)
-    return reduce(lambda acc, p: F.regexp_replace(acc, p, " "), NOISE_PATTERNS, F.lower(head))
+    return reduce(lambda acc, p: F.regexp_replace(acc, p, " "), NOISE_PATTERNS, F.lower(text))
 
 
-def words(clean: Column, stop_words: list[str], min_length: int) -> Column:
+def words(clean: Column, stop_words: Sequence[str], min_length: int) -> Column:
     """Words of ``clean_text``, in order and with repeats, without short ones and stop words."""
     return F.filter(
         F.split(clean, " "),
-        lambda word: (F.length(word) >= min_length) & ~word.isin(stop_words),
+        lambda word: (F.length(word) >= min_length) & ~word.isin(list(stop_words)),
     )

@@ -33,11 +33,26 @@ KEY = "cve_id"
 
 @dataclass(frozen=True)
 class FeatureSettings:
-    vocabulary_size: int = K.VOCABULARY_SIZE
-    min_documents: int = K.MIN_DOCUMENTS
-    category_size: int = K.CATEGORY_VOCABULARY_SIZE
-    category_min_documents: int = K.CATEGORY_MIN_DOCUMENTS
-    pca_components: int | None = K.PCA_COMPONENTS
+    """Which terms and dimensions features keep; by default all of them.
+
+    ``SMALL_FEATURES`` is a small model: rare terms, all but the most frequent ones and all but the
+    first principal components are lost in it.
+    """
+
+    vocabulary_size: int = K.WHOLE_VOCABULARY
+    min_documents: int = 1
+    category_size: int = K.WHOLE_VOCABULARY
+    category_min_documents: int = 1
+    pca_components: int | None = None
+
+
+SMALL_FEATURES = FeatureSettings(
+    K.VOCABULARY_SIZE,
+    K.MIN_DOCUMENTS,
+    K.CATEGORY_VOCABULARY_SIZE,
+    K.CATEGORY_MIN_DOCUMENTS,
+    K.PCA_COMPONENTS,
+)
 
 
 @dataclass(frozen=True)
@@ -49,12 +64,12 @@ class Clustering:
     topics: DataFrame  # one row per cluster
 
 
-def prepare_text(df: DataFrame, max_chars: int | None = None) -> DataFrame:
+def prepare_text(df: DataFrame) -> DataFrame:
     """Records with a description, its text cleaned, and no gaps in the other inputs."""
     none = F.array().cast("array<string>")
     return df.na.drop(subset=["description"]).select(
         KEY,
-        clean_text(F.col("description"), max_chars).alias("clean_text"),
+        clean_text(F.col("description")).alias("clean_text"),
         F.coalesce("cwes", none).alias("cwes"),
         F.coalesce("cpe_vendors", none).alias("cpe_vendors"),
         (scores.number("cvss_score") / F.lit(10.0)).alias("cvss_scaled"),
@@ -65,7 +80,7 @@ def prepare_text(df: DataFrame, max_chars: int | None = None) -> DataFrame:
 
 def words_of(prepared: DataFrame) -> DataFrame:
     """The clean text as a list of words that can tell clusters apart (M2, M3)."""
-    stop_words = StopWordsRemover.loadDefaultStopWords("english") + K.DOMAIN_STOP_WORDS
+    stop_words = [*StopWordsRemover.loadDefaultStopWords("english"), *K.DOMAIN_STOP_WORDS]
     kept = words(F.col("clean_text"), stop_words, K.MIN_TOKEN_LENGTH)
     return prepared.withColumn("words", kept).drop("clean_text")
 
@@ -128,10 +143,8 @@ def build_features(
     if settings.pca_components is None:
         features = assembled.withColumnRenamed("assembled", "features")
     else:
-        width = sum(len(c.vocabulary) for c in counters) + 3
-        pca = PCA(
-            k=min(settings.pca_components, width), inputCol="assembled", outputCol="features"
-        )
+        # more components than dimensions are an error of the caller's
+        pca = PCA(k=settings.pca_components, inputCol="assembled", outputCol="features")
         features = stage_table(pca.fit(assembled).transform(assembled).drop("assembled"), "pca")
     return features, counters[0].vocabulary
 
@@ -168,10 +181,13 @@ def davies_bouldin(predictions: DataFrame, cluster: str = "prediction") -> float
     }
     points = np.array([centres[i] for i in ids])
     spreads = np.array([spread[i] for i in ids])
-    gaps = np.linalg.norm(points[:, None, :] - points[None, :, :], axis=2)
-    np.fill_diagonal(gaps, np.inf)
-    with np.errstate(divide="ignore"):
-        similarity = (spreads[:, None] + spreads[None, :]) / gaps
+    # squared gaps from one product of k x k numbers, no array of k x k x d
+    norms = (points**2).sum(axis=1)
+    gaps = np.sqrt(np.maximum(norms[:, None] + norms[None, :] - 2 * points @ points.T, 0.0))
+    # centres in one place do not count as similar
+    similarity = np.divide(
+        spreads[:, None] + spreads[None, :], gaps, out=np.zeros_like(gaps), where=gaps > 1e-7 * np.sqrt(norms.max() + 1.0)
+    )
     np.fill_diagonal(similarity, -np.inf)
     return float(similarity.max(axis=1).mean())
 
@@ -189,11 +205,9 @@ def try_cluster_counts(
         model = KMeans(k=k, seed=seed, maxIter=iterations).fit(features)
         predictions = model.transform(features)
         # silhouette is undefined when everything falls into one cluster
-        single = predictions.select("prediction").distinct().count() < 2
-        silhouette = -1.0 if single else evaluator.evaluate(predictions)
-        rows.append(
-            (k, float(silhouette), float(model.summary.trainingCost), davies_bouldin(predictions))
-        )
+        used = sum(size > 0 for size in model.summary.clusterSizes)
+        silhouette = float(evaluator.evaluate(predictions)) if used > 1 else None
+        rows.append((k, silhouette, float(model.summary.trainingCost), davies_bouldin(predictions)))
         models[k] = model
     metrics = features.sparkSession.createDataFrame(rows, schemas.CLUSTER_METRICS)
     return metrics, models
@@ -206,7 +220,7 @@ def best_cluster_count(metrics: DataFrame) -> int:
     """
     table = metrics.toPandas()
     ranks = (
-        table["silhouette"].rank(ascending=False, method="first")
+        table["silhouette"].rank(ascending=False, method="first", na_option="bottom")
         + table["cost"].rank(method="first")
         + table["davies_bouldin"].rank(method="first")
     )
@@ -226,8 +240,7 @@ def top_keywords(
         .select("cluster_id", F.posexplode("weights").alias("position", "weight"))
     )
     best = top_k_per_group(weights, ["cluster_id"], ["-weight", "position"], n, "_rank")
-    # the vocabulary is bounded by its size setting
-    named = best.join(F.broadcast(terms), "position")
+    named = best.join(terms, "position")
     return ranked_values(named, ["cluster_id"], "term", "_rank", "top_keywords")
 
 
@@ -253,9 +266,8 @@ def run_clustering(
     scored: DataFrame,
     counts: Sequence[int] = K.CLUSTER_COUNTS,
     settings: FeatureSettings = FeatureSettings(),
-    max_chars: int | None = None,
 ) -> Clustering:
-    features, vocabulary = build_features(prepare_text(scored, max_chars), settings)
+    features, vocabulary = build_features(prepare_text(scored), settings)
     metrics, models = try_cluster_counts(features, counts)
     best = models[best_cluster_count(metrics)]
     clustered = stage_table(

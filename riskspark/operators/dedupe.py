@@ -17,12 +17,13 @@ def latest_per_key(
 ) -> DataFrame:
     """Newest row of every non-null key, undated rows last.
 
-    ``ties`` decides between equally new rows; by default a hash of the whole row does, so the
-    result does not depend on the order of arrival. The ``<= 1`` bound is applied on the map side:
-    a key with very many copies sends one row per map task to its reducer.
+    ``ties`` names the columns that decide between equally new rows, in that order; by default all
+    other columns that have an order do, so the result does not depend on the order of arrival. The
+    ``<= 1`` bound is applied on the map side: a key with very many copies sends one row per map
+    task to its reducer.
     """
-    keyed = df.where(F.col(key).isNotNull())
     if ties is None:
-        keyed, ties = keyed.withColumn("_tie", F.xxhash64(*df.columns)), ["_tie"]
+        ties = [name for name, kind in df.dtypes if name not in (key, newest) and "map<" not in kind]
     first = row_numbers([key], [f"-{newest}", *ties])
-    return keyed.withColumn("_nth", first).where(F.col("_nth") <= 1).drop("_nth", "_tie")
+    keyed = df.where(F.col(key).isNotNull())
+    return keyed.withColumn("_nth", first).where(F.col("_nth") <= 1).drop("_nth")

@@ -20,7 +20,7 @@ def _daily_work(df: DataFrame, capacity: int, days: int) -> DataFrame:
         strategy_ranking(facts, name, limit=capacity * days)
         .select(
             F.lit(name).alias("strategy"),
-            F.ceil(F.col("_strategy_rank") / capacity).cast("int").alias("day"),
+            F.ceil(F.col("place") / capacity).cast("int").alias("day"),
             "is_kev",
             "epss_score",
         )

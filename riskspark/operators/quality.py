@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskspark.operators.ranking import quantile
 from riskspark.sources.tables import DateLike, as_date
 
 
@@ -20,10 +19,10 @@ def summary(df: DataFrame, snapshot_date: DateLike) -> DataFrame:
     """The whole profile in one row.
 
     ``pct_null_epss`` counts zero probabilities, the filled form of "no probability known".
-    Distinct keys and the median each need a shuffle of one column and are subqueries over it; all
-    else is one aggregation that combines on the map side.
+    One aggregation that combines on the map side; the median is exact and counts equal values, so
+    it holds as many numbers as there are different probabilities. Distinct keys shuffle the key
+    column and are a subquery over it: ``df`` is read twice, so let it be a written table.
     """
-    median = quantile(df, "epss_score", 0.5).scalar()
     distinct_keys = df.agg(F.count_distinct("cve_id").alias("n")).scalar()
     flagged = F.col("is_kev") == 1
     scored = F.col("epss_score") > 0.0
@@ -40,16 +39,17 @@ def summary(df: DataFrame, snapshot_date: DateLike) -> DataFrame:
         F.count_if(flagged).alias("nvd_kev_intersection"),
         F.count_if(scored).alias("nvd_epss_intersection"),
         F.count_if(flagged & scored).alias("nvd_kev_epss_intersection"),
+        F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY epss_score)").alias("median_epss"),
     )
     first = ["row_count"]
-    last = profile.columns[profile.columns.index("kev_count") :]
-    shares = [name for name in profile.columns if name not in first + last]
+    last = profile.columns[profile.columns.index("kev_count") : -1]
+    shares = [name for name in profile.columns[:-1] if name not in first + last]
     return profile.select(
         as_date(snapshot_date).alias("snapshot_date"),
         *first,
         distinct_keys.alias("distinct_cve_count"),
         *shares,
-        median.alias("median_epss"),
+        "median_epss",
         *last,
     )
 

@@ -6,19 +6,12 @@ end in a unique column for results to be repeatable.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from riskspark.sources.workdir import stage_table
 
-#: Up to this bound Spark trims ``row_number() <= k`` on the map side, before the shuffle
-#: (the default of its group-limit rule).
-GROUP_LIMIT = 1000
-#: Sub-ranges that share the first reduction of a top-k between the map side and the final task.
-LANES = 64
-
 
 def sort_columns(order: Sequence[str]) -> list[Column]:
     return [
@@ -31,81 +24,24 @@ def row_numbers(groups: Sequence[str], order: Sequence[str]) -> Column:
     return F.row_number().over(W.partitionBy(*groups).orderBy(*sort_columns(order)))
 
 
-def _lane_heads(
-    df: DataFrame, groups: Sequence[str], order: Sequence[str], k: int
-) -> DataFrame:
-    """At most k rows per group and lane, among them the first k of every group.
-
-    A lane is a set of input partitions, so a map task feeds one lane with k rows per group and
-    no reducer sees the k rows of every map task.
-    """
-    return (
-        df.withColumn("_lane", F.spark_partition_id() % LANES)
-        .withColumn("_head", row_numbers(["_lane", *groups], order))
-        .where(F.col("_head") <= k)
-        .drop("_lane", "_head")
-    )
-
-
 def top_k_per_group(
-    df: DataFrame,
-    groups: Sequence[str],
-    order: Sequence[str],
-    k: int,
-    rank: str = "rank",
-    few_groups: bool = False,
+    df: DataFrame, groups: Sequence[str], order: Sequence[str], k: int, rank: str = "rank"
 ) -> DataFrame:
     """First k rows of every group with their position in ``rank``.
 
-    Rows are trimmed before the shuffle. ``few_groups`` adds the lane step, worth it when a group
-    is found in nearly every input partition.
+    The bound on the row number lets Spark trim each group before the shuffle.
     """
-    if k > GROUP_LIMIT:
-        return group_rank(df, groups, order, rank).where(F.col(rank) <= k)
-    heads = _lane_heads(df, groups, order, k) if few_groups else df
-    return heads.withColumn(rank, row_numbers(groups, order)).where(F.col(rank) <= k)
+    return df.withColumn(rank, row_numbers(groups, order)).where(F.col(rank) <= k)
 
 
 def top_k(df: DataFrame, order: Sequence[str], k: int) -> DataFrame:
-    """First k rows overall, in order."""
-    if k <= GROUP_LIMIT:
-        return _lane_heads(df, [], order, k).orderBy(*sort_columns(order)).limit(k)
-    return ranked_prefix(df, order, k, "_rank").orderBy("_rank").drop("_rank")
+    """First k rows overall, in order: a bounded heap per map task, then one of k rows each."""
+    return df.orderBy(*sort_columns(order)).limit(k)
 
 
 def ranked_prefix(df: DataFrame, order: Sequence[str], k: int, rank: str) -> DataFrame:
-    """First k rows overall with their 1-based position in ``rank``."""
-    if k <= GROUP_LIMIT:
-        # the window sees the k kept rows only
-        return top_k(df, order, k).withColumn(rank, row_numbers([], order))
-    # The k-th best row of any subset is not ahead of the k-th best row of all, so no row of the
-    # answer comes after it. Little more than k rows pass this cut into the final sort.
-    cut = _kth_head(df, order, k) if k <= LANES * GROUP_LIMIT else None
-    if cut is None:
-        return global_rank(df, order, rank).where(F.col(rank) <= k)
-    head = df.where(_not_after(order, cut)).orderBy(*sort_columns(order)).limit(k)
-    return head.withColumn(rank, row_numbers([], order))
-
-
-def _kth_head(df: DataFrame, order: Sequence[str], k: int) -> Row | None:
-    """The k-th row among the lane heads, or none when there are fewer."""
-    keys = df.select(*[name.lstrip("-") for name in order])
-    heads = _lane_heads(keys, [], order, GROUP_LIMIT)
-    return heads.orderBy(*sort_columns(order)).offset(k - 1).limit(1).first()
-
-
-def _not_after(order: Sequence[str], cut: Row) -> Column:
-    """Whether a row sorts at or before ``cut``. Literals, so the scan can skip row groups."""
-    condition = F.lit(True)
-    for name in reversed(order):
-        column, bound = F.col(name.lstrip("-")), cut[name.lstrip("-")]
-        if bound is None:  # nulls sort last
-            ahead = column.isNotNull()
-        else:
-            better = column > bound if name.startswith("-") else column < bound
-            ahead = F.coalesce(better, F.lit(False))
-        condition = ahead | (column.eqNullSafe(F.lit(bound)) & condition)
-    return condition
+    """First k rows overall with their 1-based position in ``rank``; the window sees those k rows."""
+    return top_k(df, order, k).withColumn(rank, row_numbers([], order))
 
 
 def global_rank(df: DataFrame, order: Sequence[str], rank: str) -> DataFrame:
@@ -159,34 +95,6 @@ def group_rank(
     )
 
 
-def quantile(df: DataFrame, column: str, p: float) -> DataFrame:
-    """The smallest value that at least a share p of the non-null values does not exceed.
-
-    Exact. Equal values are counted on the map side and the counts sorted by range, so no task
-    sees all values, nor one sketch per input partition. One row, null when there are no values.
-    """
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    run = F.shiftright(F.monotonically_increasing_id(), 33)
-    placed = stage_table(counts.orderBy(column).withColumn("_run", run), "values")
-    # one row per sort partition: bounded by spark.sql.shuffle.partitions
-    runs = placed.groupBy("_run").agg(F.sum("_n").alias("n")).orderBy("_run").collect()
-    wanted = math.ceil(p * sum(r["n"] for r in runs))
-    before, within = 0, None
-    for within in runs:
-        if before + within["n"] >= wanted:
-            break
-        before += within["n"]
-    inside = placed.where(F.col("_run") == (within["_run"] if within else -1))
-    so_far = F.sum("_n").over(W.orderBy(column)) + before  # one run of distinct values
-    return (
-        inside.withColumn("_so_far", so_far)
-        .where(F.col("_so_far") >= wanted)
-        .agg(F.min(column).alias("value"))
-    )
-
-
 def ranked_values(
     df: DataFrame, groups: Sequence[str], value: str, rank: str, out: str
 ) -> DataFrame:

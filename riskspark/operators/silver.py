@@ -42,6 +42,7 @@ def catalogue(feed: DataFrame) -> DataFrame:
 def within_window(
     df: DataFrame, first_year: int = K.FIRST_YEAR, column: str = "published_year"
 ) -> DataFrame:
+    """Records of ``first_year`` or later; a record without a year is in no window."""
     return df.where(F.col(column) >= first_year)
 
 

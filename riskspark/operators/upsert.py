@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from riskspark import constants as K
@@ -15,6 +15,10 @@ from riskspark.sources.tables import DateLike, read_table, table_exists
 from riskspark.sources.workdir import stage_table
 
 
+#: Fixed value: the folder name of the partition without a value.
+DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 @dataclass(frozen=True)
 class UpsertStats:
     modified_rows: int = 0
@@ -38,43 +42,54 @@ def stage_changes(
     return reader.parquet(f"{path}/snapshot_date={str(date)[:10]}")
 
 
+def _among(column: str, values: list) -> Column:
+    """Whether a partition is one of the listed ones; the default partition is null. Prunes the scan."""
+    known = F.col(column).isin([v for v in values if v is not None])
+    return F.coalesce(known, F.lit(False)) | (F.col(column).isNull() if None in values else F.lit(False))
+
+
 def affected_partitions(
-    base: DataFrame | None, changes: DataFrame, key: str, partition: str, target: str
+    base: DataFrame | None, changes: DataFrame, incoming: DataFrame, key: str, partition: str
 ) -> DataFrame:
     """Row counts of every partition that the change set touches.
 
-    A partition is touched when a changed record belongs there, or when the table now holds a
+    A partition is touched when a changed record arrives there, or when the table now holds a
     changed key there. ``rows_after`` is what it will hold: rows now, less those replaced, plus
-    those arriving. One row per partition.
+    those arriving. One row per partition. Of the base only keys and partitions are read to find
+    the touched ones, and only touched partitions are counted.
     """
-    arriving = changes.groupBy(F.col(target).alias(partition)).agg(
-        F.count(F.lit(1)).alias("arriving")
-    )
+    arriving = incoming.groupBy(partition).agg(F.count(F.lit(1)).alias("arriving"))
     if base is None:
         return arriving.selectExpr(partition, "arriving AS rows_after", "false AS exists_now")
-    changed = changes.select(key, F.lit(True).alias("_changed"))
-    held = (
+    leaving = (
         base.select(key, partition)
-        .join(changed, key, "left")
+        .join(changes.select(key), key, "left_semi")
+        .groupBy(partition)
+        .agg(F.count(F.lit(1)).alias("replaced"))
+    )
+    touched = stage_table(
+        leaving.select(partition, "replaced", F.lit(0).cast("long").alias("arriving"))
+        .union(arriving.select(partition, F.lit(0).cast("long"), "arriving"))
         .groupBy(partition)
-        .agg(F.count(F.lit(1)).alias("now"), F.count("_changed").alias("replaced"))
+        .agg(F.sum("replaced").alias("replaced"), F.sum("arriving").alias("arriving")),
+        "touched",
     )
-    rows = {name: F.coalesce(name, F.lit(0)) for name in ("now", "replaced", "arriving")}
-    return (
-        held.join(arriving, partition, "full")
-        .where((rows["replaced"] > 0) | (rows["arriving"] > 0))
-        .select(
-            partition,
-            (rows["now"] - rows["replaced"] + rows["arriving"]).alias("rows_after"),
-            F.col("now").isNotNull().alias("exists_now"),
-        )
+    # one row per touched partition, so bounded by the table's partition count
+    values = [row[partition] for row in touched.select(partition).collect()]
+    now = base.where(_among(partition, values)).groupBy(F.col(partition).alias("_held")).agg(
+        F.count(F.lit(1)).alias("now")
+    )
+    return touched.join(now, F.col(partition).eqNullSafe(F.col("_held")), "left").select(
+        partition,
+        (F.coalesce("now", F.lit(0)) - F.col("replaced") + F.col("arriving")).alias("rows_after"),
+        F.col("now").isNotNull().alias("exists_now"),
     )
 
 
-def merged(base: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """Rows without a change, and all changed rows; columns unknown to one side become null."""
+def merged(base: DataFrame, incoming: DataFrame, changes: DataFrame, key: str) -> DataFrame:
+    """Rows without a change, and all incoming rows; columns unknown to one side become null."""
     untouched = base.join(changes.select(key), key, "left_anti")
-    return untouched.unionByName(changes, allowMissingColumns=True)
+    return untouched.unionByName(incoming, allowMissingColumns=True)
 
 
 def upsert_partitions(
@@ -92,34 +107,33 @@ def upsert_partitions(
     """Bring a table partitioned by ``partition`` up to date with a change set.
 
     A changed record goes to the partition named by its ``target`` column and every other copy of
-    its key leaves the table. All touched partitions are rewritten by one job that reads nothing
-    but them; Spark replaces each when the job has succeeded, so a failed run changes nothing.
-    Records before ``first_year`` are ignored.
+    its key leaves the table, also when the newest version lies before ``first_year`` or has no
+    year: then the key leaves for good. The new content of all touched partitions is computed into
+    the work folder and counted there; only if the count is as expected does it replace them, so a
+    failure before that changes nothing. Partitions that lose all rows are cleared after it; a run
+    that broke off in between is put right by running the same change set again.
     """
-    staged = within_window(
-        stage_changes(changes, lineage, snapshot_date, key=key, newest=newest),
-        first_year,
-        target,
-    )
-    if staged.isEmpty():
+    latest = stage_changes(changes, lineage, snapshot_date, key=key, newest=newest)
+    if latest.isEmpty():
         return UpsertStats()
     base = read_table(spark, table) if table_exists(spark, table) else None
-    # one row per touched partition, so bounded by the table's partition count
-    touched = affected_partitions(base, staged, key, partition, target).collect()
-    incoming = staged.withColumn(partition, F.col(target))
-    if base is None:
-        result = incoming
-    else:
-        names = [row[partition] for row in touched]
-        result = merged(base.where(F.col(partition).isin(names)), incoming, key)
-    written = overwrite_partitions(result, table, [partition])
-    expected = sum(row["rows_after"] for row in touched)
-    if written != expected:
-        raise RuntimeError(f"upsert wrote {written} rows into {table}, expected {expected}")
+    incoming = within_window(latest, first_year, target).withColumn(partition, F.col(target))
+    touched = affected_partitions(base, latest, incoming, key, partition).collect()
+    if not touched:
+        return UpsertStats()
+    result = incoming
+    if base is not None:
+        held = base.where(_among(partition, [row[partition] for row in touched]))
+        result = merged(held, incoming, latest, key)
+    staged = stage_table(result, "upsert")
+    expected, found = sum(row["rows_after"] for row in touched), staged.count()
+    if found != expected:
+        raise RuntimeError(f"the upsert made {found} rows, expected {expected}; {table} is unchanged")
+    written = overwrite_partitions(staged, table, [partition])
     emptied = [row[partition] for row in touched if row["exists_now"] and not row["rows_after"]]
     _write_empty(spark, table, partition, emptied, result.drop(partition).schema)
     return UpsertStats(
-        modified_rows=staged.count(), affected_years=len(touched), written_rows=written
+        modified_rows=incoming.count(), affected_years=len(touched), written_rows=written
     )
 
 
@@ -128,9 +142,10 @@ def _write_empty(
 ) -> None:
     """Partitions that lost all rows: a dynamic overwrite does not touch them."""
     for value in values:
+        folder = DEFAULT_PARTITION if value is None else value
         spark.createDataFrame([], schema).write.mode("overwrite").option(
             "partitionOverwriteMode", "static"
-        ).parquet(f"{table}/{partition}={value}")
+        ).parquet(f"{table}/{partition}={folder}")
 
 
 def merge_versioned(
@@ -160,8 +175,11 @@ def full_refresh(
     fmt: str = "parquet",
     **dedupe,
 ) -> int:
-    """Rebuild a table from all years in one job, one row per key."""
-    latest = latest_per_key(within_window(df, first_year, target), **dedupe)
+    """Rebuild a table from all years in one job.
+
+    The newest version of a key decides, also about whether the key is inside the window.
+    """
+    latest = within_window(latest_per_key(df, **dedupe), first_year, target)
     return overwrite_partitions(
         latest.withColumn(partition, F.col(target)), table, [partition], fmt, reset=True
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from riskspark import constants as K
+
 LEVEL = """CASE WHEN {0} >= 0.8e0 THEN 'Critical' WHEN {0} >= 0.6e0 THEN 'High'
                 WHEN {0} >= 0.4e0 THEN 'Medium' ELSE 'Low' END"""
 
@@ -223,11 +225,11 @@ changes AS (
 valid AS (SELECT * FROM changes WHERE published_year >= 1996),
 upserted AS (
   SELECT cve_id, last_modified, description, published_year, published_year AS year
-  FROM base WHERE cve_id NOT IN (SELECT cve_id FROM valid)
+  FROM base WHERE cve_id NOT IN (SELECT cve_id FROM changes)
   UNION ALL SELECT *, published_year FROM valid),
 touched AS (
   SELECT published_year FROM valid
-  UNION SELECT published_year FROM base WHERE cve_id IN (SELECT cve_id FROM valid))"""
+  UNION SELECT published_year FROM base WHERE cve_id IN (SELECT cve_id FROM changes))"""
 
 FEED = """
 feed AS (
@@ -269,10 +271,39 @@ _RECOMMENDED = {
     "hybrid": "is_kev DESC, priority_score_final DESC, epss_score DESC, cve_id",
 }
 
+# fixed values: what is blanked out of lower-cased text, in this order
 _CLEAN = "lower(text)"
 for _pattern in (r"\n", r"http\S+", r"cve-\d{4}-\d+", r"0x[0-9a-f]+", r"[^a-zA-Z\s]", r"\s+"):
     _CLEAN = f"regexp_replace({_CLEAN}, '{_pattern}', ' ', 'g')"
 
+_WORDS = f"""
+SELECT CAST(doc_id AS VARCHAR) AS cve_id,
+       list_filter(string_split({_CLEAN}, ' '),
+                   lambda w: length(w) >= {K.MIN_TOKEN_LENGTH} AND w NOT IN {K.DOMAIN_STOP_WORDS}) AS words
+FROM documents WHERE text IS NOT NULL"""
+
+_TERMS = f"""
+documents_words AS ({_WORDS}),
+counts AS (
+  SELECT cve_id, term, count(*) AS n
+  FROM (SELECT cve_id, unnest(words) AS term FROM documents_words) GROUP BY ALL),
+often AS (SELECT term, count(*) AS df FROM counts GROUP BY term HAVING count(*) >= {K.MIN_DOCUMENTS}),
+weights AS (
+  SELECT cve_id, term, n,
+         n * ln(((SELECT count(*) FROM documents_words) + 1e0) / (df + 1e0)) AS weight
+  FROM counts JOIN often USING (term))"""
+
+_FALLBACK = """
+SELECT cve_id,
+       CASE urgency WHEN '1' THEN score WHEN '2' THEN score + 0.5e0 WHEN '3' THEN score + 1e0
+                    WHEN '4' THEN score + 2e0 END AS cvss_score,
+       CASE urgency WHEN '1' THEN 'four ' || words WHEN '2' THEN 'three-one ' || words
+                    WHEN '3' THEN 'three ' || words WHEN '4' THEN 'two ' || words END
+         AS cvss_severity,
+       CASE urgency WHEN '1' THEN 'v4.0' WHEN '2' THEN 'v3.1' WHEN '3' THEN 'v3.0'
+                    WHEN '4' THEN 'v2' END AS cvss_version
+FROM feed"""
+
 ORACLE_SQL = {
     "remediation_actions_top50": f"WITH {LINE},{_actions('scored', 'priority_score')} LIMIT 50",
     "remediation_actions_all": f"WITH {FINAL},{_actions('final', 'priority_score_final')}",
@@ -325,20 +356,14 @@ SELECT cve_id, o_orderdate AS published, o_orderdate AS last_modified,
        CASE o_orderstatus WHEN 'O' THEN 2 WHEN 'F' THEN 1 ELSE 0 END AS reference_count,
        CAST(year(o_orderdate) AS INTEGER) AS published_year
 FROM feed""",
-    "nested_fallback_chain": f"""WITH {FEED}
-SELECT cve_id,
-       CASE urgency WHEN '1' THEN score WHEN '2' THEN score + 0.5e0 WHEN '3' THEN score + 1e0
-                    WHEN '4' THEN score + 2e0 END AS cvss_score,
-       CASE urgency WHEN '1' THEN 'four ' || words WHEN '2' THEN 'three-one ' || words
-                    WHEN '3' THEN 'three ' || words WHEN '4' THEN 'two ' || words END
-         AS cvss_severity,
-       CASE urgency WHEN '1' THEN 'v4.0' WHEN '2' THEN 'v3.1' WHEN '3' THEN 'v3.0'
-                    WHEN '4' THEN 'v2' END AS cvss_version
-FROM feed""",
+    "nested_fallback_chain": f"WITH {FEED} {_FALLBACK}",
     "nested_exploit_flag": f"""WITH {FEED}
 SELECT cve_id, CASE o_orderstatus WHEN 'O' THEN 2 WHEN 'F' THEN 1 ELSE 0 END AS reference_count,
        o_orderstatus = 'O' AND o_orderkey % 2 = 0 AS has_exploit_reference
-FROM feed WHERE year(o_orderdate) >= 1997""",
+FROM feed""",
+    "feed_window": f"""WITH {FEED}
+SELECT cve_id, CAST(year(o_orderdate) AS INTEGER) AS published_year FROM feed
+WHERE year(o_orderdate) >= 1997""",
     "cpe_fields": f"""WITH {FEED}, names AS (
   SELECT cve_id, unnest(CASE WHEN o_orderstatus = 'P' THEN ['cpe:2.3'] ELSE [
     concat_ws(':', 'cpe:2.3:a', o_custkey % 25, o_orderkey % 6, o_orderkey % 9, '*'),
@@ -376,7 +401,7 @@ FROM events""",
     "select_flag_first": _select("kev_first"),
     "select_hybrid": _select("hybrid"),
     "strategy_ranking": f"""WITH {RANKS}
-SELECT strategy, cve_id, pos AS _strategy_rank FROM ranked""",
+SELECT strategy, cve_id, pos AS place FROM ranked""",
     "strategy_comparison": f"""WITH {SELECTIONS}, chosen AS ({CHOSEN}),
 mix AS (
   SELECT strategy, -sum(p * log2(p)) AS entropy FROM (
@@ -403,7 +428,7 @@ SELECT strategy, CAST(day AS INTEGER) AS day,
 FROM work, totals ORDER BY strategy, day""",
     "cluster_risk_summary": f"WITH {FINAL},{RISK} SELECT * FROM risk",
     "cluster_overview": f"""WITH {FINAL},{RISK},
-grouped AS (SELECT * FROM line WHERE cluster_id IS NOT NULL),
+grouped AS (SELECT * REPLACE (coalesce(cluster_id, -1) AS cluster_id) FROM line),
 {_top_values("kinds", "primary_product", "grouped", 3, "top_keywords").strip()},
 {_top_values("makers", "primary_vendor", "grouped", 5, "topic_vendors").strip()}
 SELECT risk.*, DATE '2001-12-01' AS snapshot_date, top_keywords, topic_vendors,
@@ -416,8 +441,9 @@ SELECT * FROM risk ORDER BY kev_density DESC, cluster_size DESC, cluster_id LIMI
 SELECT count(*) AS n_clusters, CAST(sum(cluster_size) AS BIGINT) AS n_records,
        count(*) FILTER (WHERE n_kev > 0) AS n_clusters_with_kev FROM risk""",
     "top_values_per_group": f"""WITH words AS (
-  SELECT lang AS cluster_id, unnest(string_split(text, ' ')) AS word
-  FROM documents WHERE doc_id % 4 <> 0),
+  SELECT CASE WHEN doc_id % 4 <> 0 THEN lang END AS cluster_id,
+         unnest(string_split(text, ' ')) AS word
+  FROM documents),
 {_top_values("top", "word", "words", 5, "top_words").strip()}
 SELECT * FROM top""",
     "top_n_filtered": f"""WITH {FINAL}
@@ -457,9 +483,94 @@ WHERE year(published) = 1998""",
     "available_snapshots": f"""WITH {LINE}
 SELECT DISTINCT make_date(year(published), 12, 31) AS snapshot_date FROM line
 ORDER BY snapshot_date DESC""",
-    "settings_resolution": "SELECT 20 AS daily_capacity, 12 AS simulation_days",
+    "settings_resolution": """
+SELECT CAST((SELECT count(*) FROM nation) AS INTEGER) AS daily_capacity,
+       CAST((SELECT count(*) FROM region) + 7 AS INTEGER) AS simulation_days""",
     "csv_export": f"""WITH {LINE}
 SELECT cve_id, cvss_score, cvss_severity, epss_score, is_kev, primary_vendor, primary_product,
        published FROM line""",
     "text_clean": f"SELECT CAST(doc_id AS VARCHAR) AS cve_id, {_CLEAN} AS clean_text FROM documents",
+    "nested_multiline": f"""WITH {FEED}
+SELECT fallback.*, CAST(year(o_orderdate) AS INTEGER) AS published_year
+FROM ({_FALLBACK}) AS fallback JOIN feed USING (cve_id)""",
+    "cpe_fields_wide": """
+SELECT 'CVE-' || s_suppkey AS cve_id, 60 AS vendors, CAST(s_suppkey % 290 + 11 AS INTEGER) AS products,
+       CAST(60 * (s_suppkey % 290 + 11) AS INTEGER) AS versions,
+       CAST(59000 + s_suppkey % 290 + 10 AS INTEGER) AS last_version
+FROM supplier""",
+    "upsert_null_partition": f"""WITH {CHANGES}
+SELECT cve_id, CASE WHEN number % 27 = 0 THEN last_modified + INTERVAL 1 DAY ELSE last_modified END
+         AS last_modified,
+       CASE WHEN number % 27 = 0 THEN 'dated' ELSE description END AS description, y AS published_year,
+       y AS year
+FROM (SELECT *, CAST(CASE WHEN number % 27 = 0 THEN 1997 WHEN number % 9 <> 0 THEN published_year END
+                     AS INTEGER) AS y FROM base)""",
+    "upsert_leaves_window": f"""WITH {CHANGES}
+SELECT cve_id, last_modified, CASE WHEN number % 6 = 0 THEN 'moved' ELSE description END AS description,
+       published_year, published_year AS year
+FROM base WHERE number % 12 <> 0""",
+    "upsert_new_columns": f"""WITH {CHANGES}
+SELECT cve_id, last_modified, CASE WHEN number % 10 <> 0 THEN description END AS description,
+       CASE WHEN number % 10 = 0 THEN 'seen' END AS review, published_year, published_year AS year
+FROM base""",
+    "upsert_empty": f"""WITH {CHANGES}
+SELECT cve_id, last_modified, description, published_year, published_year AS year, 0 AS written_rows
+FROM base""",
+    "full_refresh": f"""WITH {CHANGES}
+SELECT cve_id, last_modified, description, published_year, published_year AS year
+FROM base WHERE number % 4 <> 0 AND published_year >= 1996""",
+    "repartition_table": f"""WITH {CHANGES}
+SELECT cve_id, last_modified, description, published_year FROM base WHERE published_year >= 1995""",
+    "document_words": f"SELECT cve_id, array_to_string(words, ' ') AS words FROM ({_WORDS})",
+    "tfidf_weights": f"""WITH {_TERMS}
+SELECT cve_id, term, n, round(weight, 6) AS weight FROM weights""",
+    "top_terms_given": f"""WITH {_TERMS},
+means AS (
+  SELECT CAST(cve_id AS BIGINT) % 5 AS cluster_id, term, sum(weight) AS total FROM weights GROUP BY 1, 2),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY total DESC, term) AS nth FROM means)
+SELECT cluster_id, string_agg(term, ',' ORDER BY nth) AS top_keywords
+FROM ranked WHERE nth <= 10 GROUP BY cluster_id""",
+    "category_values": f"""WITH {MASTER},
+found AS (
+  SELECT DISTINCT cve_id, 'cwes' AS kind, unnest(string_split(cwes, ',')) AS value FROM master
+  WHERE coalesce(cwes, '') <> ''
+  UNION SELECT cve_id, 'cpe_vendors', cpe_vendors FROM master WHERE cpe_vendors IS NOT NULL),
+often AS (SELECT kind, value FROM found GROUP BY ALL HAVING count(*) >= 5)
+SELECT * FROM found SEMI JOIN often USING (kind, value)""",
+    "numeric_features": f"""WITH {MASTER}
+SELECT cve_id, coalesce(cvss_score, 0e0) / 10e0 AS cvss_scaled, epss_percentile, is_kev FROM master""",
+    "davies_bouldin_given": """WITH parts AS (
+  SELECT vec_id, label, unnest(range(1, len(embedding) + 1)) AS i, unnest(embedding)::DOUBLE AS x
+  FROM embeddings),
+centres AS (SELECT label, i, avg(x) AS c FROM parts GROUP BY ALL),
+distances AS (
+  SELECT vec_id, label, sqrt(sum((x - c) * (x - c))) AS d FROM parts JOIN centres USING (label, i) GROUP BY ALL),
+spreads AS (SELECT label, avg(d) AS s FROM distances GROUP BY label),
+gaps AS (
+  SELECT a.label AS p, b.label AS q, sqrt(sum((a.c - b.c) * (a.c - b.c))) AS gap
+  FROM centres a JOIN centres b ON a.i = b.i AND a.label <> b.label GROUP BY ALL),
+worst AS (
+  SELECT p, max((x.s + y.s) / gap) AS w FROM gaps JOIN spreads x ON p = x.label JOIN spreads y ON q = y.label
+  GROUP BY p)
+SELECT round(avg(w), 6) AS davies_bouldin FROM worst""",
+    "best_count_given": """WITH measures AS (
+  SELECT l_linenumber AS k, round(avg(l_discount), 9) AS silhouette, round(sum(l_tax), 6) AS cost,
+         round(avg(l_quantity), 9) AS db FROM lineitem GROUP BY 1),
+ranked AS (
+  SELECT k, row_number() OVER (ORDER BY silhouette DESC, k) + row_number() OVER (ORDER BY cost, k)
+            + row_number() OVER (ORDER BY db, k) AS total FROM measures)
+SELECT CAST(k AS INTEGER) AS k FROM ranked ORDER BY total, k LIMIT 1""",
+    "attach_given_clusters": f"""WITH {MASTER}
+SELECT cve_id, is_kev,
+       CASE WHEN cve_id NOT LIKE '%3' THEN CAST(CAST(cve_id AS BIGINT) % 7 AS INTEGER) END AS cluster_id
+FROM master""",
+    "scoring_nan": f"""
+SELECT event_id, CASE WHEN event_id % 3 = 0 OR event_id % 5 = 0 THEN 0e0 ELSE value END AS number,
+       CASE WHEN event_id % 3 = 0 OR event_id % 5 = 0 THEN 'Unknown' ELSE {LEVEL.format("value")} END AS level
+FROM events""",
+    "action_details": f"""
+SELECT primary_vendor, primary_product,
+       array_to_string(list_slice(string_split(top_cves, ','), 1, 3), ',') AS top_cves
+FROM (WITH {FINAL},{_actions('final', 'priority_score_final')})""",
 }

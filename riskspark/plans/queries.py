@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from riskspark import constants as K
 from riskspark.functions import scores
 from riskspark.functions.predicates import matches
-from riskspark.functions.text import clean_text
+from riskspark.functions.text import clean_text, words
 from riskspark.operators import (
     actions,
     clustering,
@@ -65,22 +65,19 @@ def _line_final(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _line_selectable(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The final scores as the written table that selection reads several times."""
-    final = selection.selection_input(_line_final(spark, sf_dir))
-    return stage_table(
-        final.select(
-            "cve_id",
-            "cluster_id",
-            "priority_score_final",
-            "priority_level_final",
-            "epss_score",
-            "is_kev",
-            "cvss_score",
-            "cvss_severity",
-            "primary_vendor",
-            "primary_product",
-        ),
-        "scores-final",
+    final = _line_final(spark, sf_dir).select(
+        "cve_id",
+        "cluster_id",
+        "priority_score_final",
+        "priority_level_final",
+        "epss_score",
+        "is_kev",
+        "cvss_score",
+        "cvss_severity",
+        "primary_vendor",
+        "primary_product",
     )
+    return stage_table(selection.selection_input(final), "scores-final")
 
 
 def _doc_master(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +89,11 @@ def _doc_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _written_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The master as profiles read it: written once, each base table scanned once."""
+    return stage_table(_doc_master(spark, sf_dir), "master")
+
+
 def _feed_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders written as nested JSON documents and read back through the feed reader."""
     path = scratch_path(spark, "feed")
@@ -128,6 +130,27 @@ def remediation_actions_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def action_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of every action as a card shows them: the first three."""
+    every = actions.build_actions(_line_final(spark, sf_dir))
+    shown = kpis.detail_columns(every, shown=3)
+    return _joined(shown, "top_cves", in_order=True).select("primary_vendor", "primary_product", "top_cves")
+
+
+def scoring_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose value is text; every third says NaN, every fifth is not a number at all."""
+    events = views.table(spark, sf_dir, "events")
+    text = (
+        F.when(F.col("event_id") % 3 == 0, "NaN")
+        .when(F.col("event_id") % 5 == 0, "none")
+        .otherwise(F.col("value").cast("string"))
+    )
+    raw = events.select("event_id", text.alias("score"))
+    return raw.select(
+        "event_id", scores.number("score").alias("number"), scores.level_of_any(F.col("score")).alias("level")
+    )
+
+
 def priority_score_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _line_scored(spark, sf_dir).select(
         "cve_id", "cvss_normalized", "recency_score", "priority_score", "priority_level"
@@ -179,7 +202,7 @@ def master_left_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(quality.summary(_doc_master(spark, sf_dir), DOC_DATE), "mean_epss")
+    return _rounded(quality.summary(_written_master(spark, sf_dir), DOC_DATE), "mean_epss")
 
 
 def severity_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,7 +214,7 @@ def flag_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.completeness(quality.summary(_doc_master(spark, sf_dir), DOC_DATE))
+    return quality.completeness(quality.summary(_written_master(spark, sf_dir), DOC_DATE))
 
 
 def quality_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,7 +225,7 @@ def quality_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
         records = master.build_master(
             views.doc_catalogue(spark, sf_dir), views.doc_exploited(spark, sf_dir), known, date
         )
-        sinks.write_snapshot(quality.summary(records, date), path, date, single_file=True)
+        sinks.write_snapshot(quality.summary(stage_table(records, "master"), date), path, date, single_file=True)
     latest = find_snapshot(spark, path)
     return _rounded(read_snapshot(spark, path, latest), "mean_epss")
 
@@ -254,6 +277,80 @@ def upsert_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _order_table(spark: SparkSession, orders: DataFrame) -> str:
+    path = scratch_path(spark, "orders")
+    sinks.overwrite_partitions(orders.withColumn("year", F.col("published_year")), path, ["year"])
+    return path
+
+
+def upsert_null_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records without a year that get one, and one that loses it, leave no second copy."""
+    number = F.col("cve_id").cast("long")
+    orders = views.order_catalogue(spark, sf_dir)
+    path = _order_table(
+        spark, orders.withColumn("published_year", F.when(number % 9 != 0, F.col("published_year")))
+    )
+    later = orders.withColumn("last_modified", F.col("last_modified") + F.make_dt_interval(F.lit(1)))
+    changes = later.where(number % 27 == 0).withColumn("published_year", F.lit(1997))
+    upsert.upsert_partitions(spark, changes.withColumn("description", F.lit("dated")), path, 1990)
+    return read_table(spark, path)
+
+
+def upsert_leaves_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose newest version lies before the window are gone."""
+    number = F.col("cve_id").cast("long")
+    orders = views.order_catalogue(spark, sf_dir)
+    path = _order_table(spark, orders)
+    changes = orders.where(number % 6 == 0).withColumn(
+        "published_year", F.when(number % 12 == 0, F.lit(1980)).otherwise(F.col("published_year"))
+    )
+    upsert.upsert_partitions(spark, changes.withColumn("description", F.lit("moved")), path, 1990)
+    return read_table(spark, path)
+
+
+def upsert_new_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column that only the changes have, and one that only the table has."""
+    orders = views.order_catalogue(spark, sf_dir)
+    path = _order_table(spark, orders)
+    changes = orders.where(F.col("cve_id").cast("long") % 10 == 0).drop("description")
+    upsert.upsert_partitions(spark, changes.withColumn("review", F.lit("seen")), path, 1990)
+    return read_table(spark, path, merge_schema=True).select(
+        "cve_id", "last_modified", "description", "review", "published_year", "year"
+    )
+
+
+def upsert_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A change set without records changes nothing."""
+    orders = views.order_catalogue(spark, sf_dir)
+    path = _order_table(spark, orders)
+    stats = upsert.upsert_partitions(spark, orders.where("cve_id IS NULL"), path, 1990)
+    return read_table(spark, path).withColumn("written_rows", F.lit(stats.written_rows))
+
+
+def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders from 1996 on by their newest version; every fourth has moved out before."""
+    path = scratch_path(spark, "orders")
+    orders = views.order_catalogue(spark, sf_dir)
+    moved = orders.where(F.col("cve_id").cast("long") % 4 == 0).select(
+        "cve_id",
+        (F.col("last_modified") + F.make_dt_interval(F.lit(1))).alias("last_modified"),
+        "description",
+        F.lit(1980).alias("published_year"),
+    )
+    upsert.full_refresh(orders.unionByName(moved), path, 1996)
+    return read_table(spark, path)
+
+
+def repartition_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table by year of the feed, copied into one by year of publication."""
+    source, path = scratch_path(spark, "by-feed"), scratch_path(spark, "by-publication")
+    orders = views.order_catalogue(spark, sf_dir)
+    by_feed = orders.withColumn("year", F.col("cve_id").cast("long") % 3 + 2000)
+    sinks.overwrite_partitions(by_feed, source, ["year"])
+    upsert.repartition_table(spark, source, path, 1995)
+    return read_table(spark, path)
+
+
 # --- nested and CSV feeds --------------------------------------------------------------------
 
 
@@ -276,8 +373,36 @@ def nested_fallback_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nested_exploit_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.within_window(_feed_catalogue(spark, sf_dir), 1997).select(
-        "cve_id", "reference_count", "has_exploit_reference"
+    return _feed_catalogue(spark, sf_dir).select("cve_id", "reference_count", "has_exploit_reference")
+
+
+def feed_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records published in 1997 or later: the window is the feature."""
+    return silver.within_window(_feed_catalogue(spark, sf_dir), 1997).select("cve_id", "published_year")
+
+
+def nested_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed as gzipped documents of many records, one document per file."""
+    path = scratch_path(spark, "feed-files")
+    views.order_feed_files(spark, sf_dir).write.option("maxRecordsPerFile", 1).option(
+        "compression", "gzip"
+    ).text(path)
+    feed = silver.catalogue(feeds.read_catalogue_feed(spark, path))
+    return feed.select("cve_id", "cvss_score", "cvss_severity", "cvss_version", "published_year")
+
+
+def cpe_fields_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many names and values a record of very many configurations, nodes and matches has."""
+    path = scratch_path(spark, "feed-wide")
+    views.wide_feed_lines(spark, sf_dir).write.text(path)
+    wide = silver.catalogue(feeds.read_catalogue_feed(spark, path, one_document_per_file=False))
+    last = lambda name: F.array_max(F.transform(name, lambda v: v.cast("int")))
+    return wide.select(
+        "cve_id",
+        F.size("cpe_vendors").alias("vendors"),
+        F.size("cpe_products").alias("products"),
+        F.size("cpe_versions").alias("versions"),
+        last("cpe_versions").alias("last_version"),
     )
 
 
@@ -311,10 +436,12 @@ def _selected(strategy: str):
 
 def strategy_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every record's position under every strategy."""
-    facts = stage_table(selection.with_rounds(_line_selectable(spark, sf_dir)), "rounds")
+    ordered = ["cve_id", "cluster_id", "priority_score_final", "epss_score", "is_kev"]
+    narrow = _line_selectable(spark, sf_dir).select(ordered)
+    facts = stage_table(selection.with_rounds(narrow), "rounds")
     ranked = [
         selection.strategy_ranking(facts, name).select(
-            F.lit(name).alias("strategy"), "cve_id", "_strategy_rank"
+            F.lit(name).alias("strategy"), "cve_id", "place"
         )
         for name in K.STRATEGIES
     ]
@@ -345,8 +472,8 @@ def cluster_risk_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _cluster_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Risk joined to topics; the topics here are the most frequent vendors and products."""
     date = F.lit(LINE_DATE).cast("date")
-    facts = views.line_facts(spark, sf_dir).where(F.col("cluster_id").isNotNull())
-    listed = facts.withColumns(
+    facts = views.line_facts(spark, sf_dir)
+    listed = facts.withColumn("cluster_id", F.coalesce("cluster_id", F.lit(K.NO_CLUSTER))).withColumns(
         {"vendors": F.array("primary_vendor"), "products": F.array("primary_product")}
     )
     topics = (
@@ -376,8 +503,7 @@ def cluster_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def top_values_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = views.doc_catalogue(spark, sf_dir).withColumn("words", F.split("description", " "))
     grouped = documents.withColumn("cluster_id", F.get("cpe_products", F.lit(0)))
-    known = grouped.where(F.col("cluster_id").isNotNull())
-    top = top_values(known, "cluster_id", "words", K.TOP_VALUES, "top_words")
+    top = top_values(grouped, "cluster_id", "words", K.TOP_VALUES, "top_words")
     return _joined(top, "top_words", in_order=True)
 
 
@@ -460,13 +586,17 @@ def available_snapshot_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def settings_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Capacity from the comparison; the horizon only from the last projected day."""
+    """Capacity from the stored comparison; the horizon only from the last stored day."""
+    capacity = views.table(spark, sf_dir, "nation").count()
+    days = views.table(spark, sf_dir, "region").count() + 7
     full = _line_selectable(spark, sf_dir)
-    comparison = selection.compare_strategies(full, selection.select_all(full, 20), 20).drop(
-        "simulation_days"
-    )
-    series = projection.project_backlog(full, 20, 12).drop("simulation_days")
-    return kpis.run_settings(comparison, series)
+    comparison = selection.compare_strategies(full, selection.select_all(full, capacity), capacity)
+    series = projection.project_backlog(full, capacity, days)
+    stored = [
+        stage_table(df.drop("simulation_days"), label)
+        for df, label in ((comparison, "comparison"), (series, "series"))
+    ]
+    return kpis.run_settings(*stored)
 
 
 def csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -489,13 +619,16 @@ def text_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _clustered(spark: SparkSession, sf_dir: str) -> clustering.Clustering:
-    return clustering.run_clustering(scoring.score_base(_doc_master(spark, sf_dir), DOC_DATE))
+    """Over all default counts, with the small model of the features."""
+    scored = scoring.score_base(_doc_master(spark, sf_dir), DOC_DATE)
+    return clustering.run_clustering(scored, settings=clustering.SMALL_FEATURES)
 
 
 def kmeans_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = scoring.score_base(_doc_master(spark, sf_dir), DOC_DATE)
-    run = clustering.run_clustering(scored, counts=(8,))
-    return clustering.attach_clusters(scored.select("cve_id", "is_kev"), run.assignments)
+    return clustering.attach_clusters(
+        scored.select("cve_id", "is_kev"), _clustered(spark, sf_dir).assignments
+    )
 
 
 def kmeans_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -503,19 +636,123 @@ def kmeans_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cluster_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = scoring.score_base(_doc_master(spark, sf_dir), DOC_DATE)
-    return clustering.run_clustering(scored, counts=(8,)).topics
+    return _clustered(spark, sf_dir).topics
 
 
-def embedding_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cluster counts tried on ready-made vectors."""
+def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.ml.functions import array_to_vector
 
     vectors = views.table(spark, sf_dir, "embeddings").select(
-        "vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features")
+        "vec_id", "label", array_to_vector(F.col("embedding").cast("array<double>")).alias("features")
+    )
+    return stage_table(vectors, "vectors")
+
+
+def embedding_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cluster of every ready-made vector, with the best of all default counts."""
+    vectors = _vectors(spark, sf_dir)
+    metrics, models = clustering.try_cluster_counts(vectors)
+    best = models[clustering.best_cluster_count(metrics)]
+    return best.transform(vectors).select("vec_id", F.col("prediction").alias("cluster_id"))
+
+
+# --- the deterministic parts of clustering, over given groups --------------------------------------
+
+
+def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.prepare_text(scoring.score_base(_doc_master(spark, sf_dir), DOC_DATE))
+
+
+def document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words that can tell documents apart, in order; here without the common English ones."""
+    kept = words(F.col("clean_text"), K.DOMAIN_STOP_WORDS, K.MIN_TOKEN_LENGTH)
+    return _prepared(spark, sf_dir).select("cve_id", F.array_join(kept, " ").alias("words"))
+
+
+def _term_vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+    from pyspark.ml import Pipeline
+
+    kept = words(F.col("clean_text"), K.DOMAIN_STOP_WORDS, K.MIN_TOKEN_LENGTH)
+    worded = stage_table(_prepared(spark, sf_dir).withColumn("words", kept), "words")
+    settings = clustering.FeatureSettings(min_documents=K.MIN_DOCUMENTS)
+    model = Pipeline(stages=clustering.text_stages(settings)).fit(worded)
+    return stage_table(model.transform(worded), "terms"), model.stages[0].vocabulary
+
+
+def tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count and weight of every term in every document, of terms that 20 documents or more have."""
+    from pyspark.ml.functions import vector_to_array
+
+    vectors, vocabulary = _term_vectors(spark, sf_dir)
+    terms = spark.createDataFrame(list(enumerate(vocabulary)), "position int, term string")
+    pairs = F.arrays_zip(
+        vector_to_array("term_counts").alias("n"), vector_to_array("tfidf").alias("weight")
+    )
+    rows = vectors.select("cve_id", F.posexplode(pairs).alias("position", "pair")).where("pair.n > 0")
+    return rows.join(terms, "position").select(
+        "cve_id", "term", F.col("pair.n").cast("long").alias("n"), F.round("pair.weight", 6).alias("weight")
+    )
+
+
+def top_terms_given(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Terms of largest mean weight for given groups of documents."""
+    vectors, vocabulary = _term_vectors(spark, sf_dir)
+    number = F.col("cve_id").cast("long") % 5
+    best = clustering.top_keywords(vectors.withColumn("cluster_id", number), vocabulary)
+    return _joined(best, "top_keywords", in_order=True)
+
+
+def category_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The categories of every document that at least five documents have, each once."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+
+    prepared = stage_table(_prepared(spark, sf_dir), "prepared")
+    settings = clustering.FeatureSettings(category_min_documents=K.CATEGORY_MIN_DOCUMENTS)
+    model = Pipeline(stages=clustering.category_stages(settings)).fit(prepared)
+    found = []
+    for stage in model.stages:
+        names = spark.createDataFrame(list(enumerate(stage.vocabulary)), "position int, value string")
+        column = stage.getInputCol()
+        rows = model.transform(prepared).select(
+            "cve_id", F.posexplode(vector_to_array(f"{column}_vector")).alias("position", "present")
+        )
+        found.append(
+            rows.where("present > 0").join(names, "position").select("cve_id", F.lit(column).alias("kind"), "value")
+        )
+    return reduce(DataFrame.unionByName, found)
+
+
+def numeric_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _prepared(spark, sf_dir).select("cve_id", "cvss_scaled", "epss_percentile", "is_kev")
+
+
+def davies_bouldin_given(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The measure of a given grouping of vectors."""
+    vectors = _vectors(spark, sf_dir).withColumn("prediction", F.col("label"))
+    return spark.createDataFrame([(clustering.davies_bouldin(vectors),)], "davies_bouldin double").select(
+        F.round("davies_bouldin", 6).alias("davies_bouldin")
+    )
+
+
+def best_count_given(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rank-sum choice among measures that the line numbers stand in for."""
+    measures = views.table(spark, sf_dir, "lineitem").groupBy(F.col("l_linenumber").alias("k")).agg(
+        F.round(F.avg("l_discount"), 9).alias("silhouette"),
+        F.round(F.sum("l_tax"), 6).alias("cost"),
+        F.round(F.avg("l_quantity"), 9).alias("davies_bouldin"),
+    )
+    best = clustering.best_cluster_count(measures.orderBy("k"))
+    return spark.createDataFrame([(best,)], "k int")
+
+
+def attach_given_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Given groups joined to all records; records without a text have none."""
+    scored = scoring.score_base(_doc_master(spark, sf_dir), DOC_DATE)
+    given = scored.where("cve_id NOT LIKE '%3'").select(
+        "cve_id", (F.col("cve_id").cast("long") % 7).cast("int").alias("cluster_id")
     )
-    metrics, _ = clustering.try_cluster_counts(stage_table(vectors, "vectors"), (4, 8))
-    return metrics
+    return clustering.attach_clusters(scored.select("cve_id", "is_kev"), given)
 
 
 QUERIES = {
@@ -536,9 +773,18 @@ QUERIES = {
     "dedupe_latest": dedupe_latest,
     "upsert_partitions": upsert_partitions,
     "upsert_stats": upsert_stats,
+    "upsert_null_partition": upsert_null_partition,
+    "upsert_leaves_window": upsert_leaves_window,
+    "upsert_new_columns": upsert_new_columns,
+    "upsert_empty": upsert_empty,
+    "full_refresh": full_refresh,
+    "repartition_table": repartition_table,
     "nested_flatten": nested_flatten,
     "nested_fallback_chain": nested_fallback_chain,
     "nested_exploit_flag": nested_exploit_flag,
+    "feed_window": feed_window,
+    "nested_multiline": nested_multiline,
+    "cpe_fields_wide": cpe_fields_wide,
     "cpe_fields": cpe_fields,
     "csv_silver": csv_silver,
     "csv_probabilities": csv_probabilities,
@@ -571,4 +817,14 @@ QUERIES = {
     "kmeans_metrics": kmeans_metrics,
     "cluster_topics": cluster_topics,
     "embedding_clusters": embedding_clusters,
+    "document_words": document_words,
+    "tfidf_weights": tfidf_weights,
+    "top_terms_given": top_terms_given,
+    "category_values": category_values,
+    "numeric_features": numeric_features,
+    "davies_bouldin_given": davies_bouldin_given,
+    "best_count_given": best_count_given,
+    "attach_given_clusters": attach_given_clusters,
+    "scoring_nan": scoring_nan,
+    "action_details": action_details,
 }

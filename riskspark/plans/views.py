@@ -187,6 +187,46 @@ def order_feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_feed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents joined to longer ones of up to 500 order numbers each, on several lines."""
+    records = order_feed_lines(spark, sf_dir).select(
+        F.get_json_object("value", "$.vulnerabilities[0]").alias("record"),
+        F.get_json_object("value", "$.vulnerabilities[0].cve.id").alias("id"),
+    )
+    number = F.regexp_extract("id", "[0-9]+", 0).cast("long")
+    joined = records.groupBy(F.floor(number / 500).alias("part")).agg(
+        F.array_join(F.collect_list("record"), ",\n").alias("records")
+    )
+    return joined.select(F.concat(F.lit('{"vulnerabilities": [\n'), "records", F.lit("\n]}")).alias("value"))
+
+
+def wide_feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One record per supplier: 30 configurations of 2 nodes of up to 300 matches, all different."""
+    size = (F.col("s_suppkey") % 290 + 11).cast("int")
+
+    def matches(base: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), size - 1),
+            lambda i: F.struct(
+                F.concat_ws(":", F.lit("cpe:2.3:a"), base, i, base * 1000 + i, F.lit("*")).alias("criteria")
+            ),
+        )
+
+    def nodes(c: Column) -> Column:
+        return F.transform(F.array(c * 2, c * 2 + 1), lambda n: F.struct(matches(n).alias("cpeMatch")))
+
+    configurations = F.transform(
+        F.sequence(F.lit(0), F.lit(29)), lambda c: F.struct(nodes(c).alias("nodes"))
+    )
+    record = F.struct(
+        F.concat(F.lit("cve-"), F.col("s_suppkey").cast("string")).alias("id"),
+        configurations.alias("configurations"),
+    )
+    return table(spark, sf_dir, "supplier").select(
+        F.to_json(F.struct(F.array(F.struct(record.alias("cve"))).alias("vulnerabilities"))).alias("value")
+    )
+
+
 def order_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as a catalogue table keyed by order number and partitioned by year."""
     return table(spark, sf_dir, "orders").select(

@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def work_root(setting: Callable[..., str | None]) -> str:
+    """The folder for intermediate tables, given a way to look settings up."""
+    root = setting("spark.checkpoint.dir", None)
+    return (root or f"{setting('spark.sql.warehouse.dir').rstrip('/')}/_work").rstrip("/")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """This application's part of the folder named by ``spark.checkpoint.dir``.
 
     Where the setting is missing, the warehouse stands in for it: the other folder that a session
     has in common with its executors. The part is removed when the application ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
-    folder = f"{root.rstrip('/')}/riskspark/{spark.sparkContext.applicationId}"
+    folder = f"{work_root(spark.conf.get)}/riskspark/{spark.sparkContext.applicationId}"
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not files.exists(path):

@@ -155,3 +155,18 @@ def test_without_pca(scored):
     width = features.select(F.size(vector_to_array("features")).alias("n")).first().n
     # three weaknesses, four vendors, three numbers
     assert width == len(vocabulary) + 3 + 4 + 3
+
+
+def test_coinciding_centres_do_not_count(spark):
+    from pyspark.ml.linalg import Vectors
+
+    rows = [(0, [0.0, 0.0]), (1, [0.0, 0.0]), (2, [4.0, 0.0]), (2, [6.0, 0.0])]
+    df = spark.createDataFrame([(c, Vectors.dense(v)) for c, v in rows], ["prediction", "features"])
+    df = df.withColumn("prediction", df.prediction.cast("int"))
+    # by hand: every cluster's worst is the pair with the third one, (0 + 1) / 5
+    assert clustering.davies_bouldin(df) == pytest.approx(0.2)
+
+
+def test_features_keep_every_term_unless_asked_otherwise():
+    whole = clustering.FeatureSettings()
+    assert (whole.min_documents, whole.category_min_documents, whole.pca_components) == (1, 1, None)

@@ -129,3 +129,13 @@ def test_long_table_is_not_shuffled_by_group(clustered, capsys):
     scoring.score_final(clustered).explain()
     plan = capsys.readouterr().out
     assert "BroadcastHashJoin" in plan and "hashpartitioning(cluster_id" not in plan
+
+
+def test_nan_is_no_number(spark):
+    from pyspark.sql import functions as F
+
+    from riskspark.functions import scores
+
+    df = spark.createDataFrame([("NaN",), ("0.9",), ("x",), (None,), ("inf",)], "v string")
+    got = [tuple(r) for r in df.select(scores.number("v"), scores.level_of_any(F.col("v"))).collect()]
+    assert got == [(0.0, "Unknown"), (0.9, "Critical"), (0.0, "Unknown"), (0.0, "Unknown"), (float("inf"), "Critical")]

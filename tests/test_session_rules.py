@@ -26,11 +26,8 @@ def test_intermediate_tables_go_to_the_shared_folder(spark):
     assert workdir.scratch_path(spark, "x") != workdir.scratch_path(spark, "x")
 
 
-def test_without_the_setting_the_warehouse_stands_in(spark):
-    configured = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.unset("spark.checkpoint.dir")
-    try:
-        if spark.conf.get("spark.checkpoint.dir", None) is None:
-            assert workdir.shared_folder(spark).startswith(spark.conf.get("spark.sql.warehouse.dir"))
-    finally:
-        spark.conf.set("spark.checkpoint.dir", configured)
+def test_without_the_setting_the_warehouse_stands_in():
+    settings = {"spark.sql.warehouse.dir": "file:/shared/warehouse/"}
+    assert workdir.work_root(lambda name, *default: settings.get(name, *default)) == "file:/shared/warehouse/_work"
+    settings["spark.checkpoint.dir"] = "hdfs:///work/"
+    assert workdir.work_root(lambda name, *default: settings.get(name, *default)) == "hdfs:///work"

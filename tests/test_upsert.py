@@ -110,3 +110,36 @@ def test_repartition_table(spark, path, tmp_path):
     df = spark.read.parquet(target)
     assert "year" not in df.columns
     assert [(r.cve_id, r.published_year) for r in df.collect()] == [("0001", 2024)]
+
+
+def test_the_default_partition_is_replaced_too(spark, path, tmp_path):
+    from pyspark.sql import functions as F
+
+    base = _rows(spark, ("A", None, 1, "old"), ("B", None, 1, "kept"), ("C", 2020, 1, "moves"))
+    overwrite_partitions(base.withColumn("year", F.col("published_year")), path, ["year"])
+    upsert.upsert_partitions(spark, _rows(spark, ("A", 2021, 2, "new")), path)
+    assert sorted(_content(spark, path), key=repr) == [("A", 2021, "new"), ("B", None, "kept"), ("C", 2020, "moves")]
+    upsert.upsert_partitions(spark, _rows(spark, ("B", 2022, 2, "dated")), path)
+    assert _content(spark, path) == [("A", 2021, "new"), ("B", 2022, "dated"), ("C", 2020, "moves")]
+    assert not (tmp_path / "table" / "year=None").exists()
+
+
+def test_a_key_that_leaves_the_window_is_removed(spark, path):
+    _store(spark, path, _rows(spark, ("A", 2020, 1, "old"), ("B", 2020, 1, "kept")))
+    stats = upsert.upsert_partitions(spark, _rows(spark, ("A", 2001, 2, "early")), path)
+    assert _content(spark, path) == [("B", 2020, "kept")]
+    assert stats == upsert.UpsertStats(0, 1, 1)
+
+
+def test_both_paths_let_the_newest_version_decide(spark, path):
+    rows = _rows(spark, ("A", 2016, 1, "old"), ("A", 2001, 2, "early"), ("B", 2016, 1, "kept"))
+    upsert.full_refresh(rows, path)
+    assert _content(spark, path) == [("B", 2016, "kept")]
+
+
+def test_a_wrong_count_leaves_the_table_alone(spark, path, monkeypatch):
+    _store(spark, path, _rows(spark, ("A", 2020, 1, "old")))
+    monkeypatch.setattr(upsert, "merged", lambda held, incoming, changes, key: incoming.limit(0))
+    with pytest.raises(RuntimeError, match="unchanged"):
+        upsert.upsert_partitions(spark, _rows(spark, ("A", 2020, 2, "new")), path)
+    assert _content(spark, path) == [("A", 2020, "old")]
