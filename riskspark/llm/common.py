@@ -31,6 +31,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def as_rows(docs: DataFrame, *more: Column | str) -> DataFrame:
+    """Whole rows in one column ``row``, so that no name in them can clash with a column added beside."""
+    return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), *more)
+
+
 def crc_mod(column: Column | str, modulus: int) -> Column:
     """Remainder of the CRC-32 of a number written as text, for folds; null stays null."""
     return F.crc32(F.col(column).cast("string") if isinstance(column, str) else column) % modulus

@@ -137,5 +137,5 @@ def _verified(met: DataFrame, window: int, similarity: float) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that overlap with no benchmark item."""
     bad = contaminated(docs, benchmark).select("doc_id").distinct()
-    renamed = bad.select(F.col("doc_id").alias("__bad"))
-    return docs.join(renamed, F.col("doc_id").eqNullSafe(F.col("__bad")), "left_anti")
+    bad = bad.select(F.col("doc_id").alias("bad_id"))
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from riskspark.llm.common import Rolling, mix, ready, text_chunks, word_bounds, word_hashes
+from riskspark.llm.common import Rolling, as_rows, mix, ready, text_chunks, word_bounds, word_hashes
 
 #: Kinds of the fixed patterns, in the order that breaks ties.
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -445,7 +445,7 @@ def redact(docs: DataFrame, field: ChainField | None = None) -> DataFrame:
 
     ``n_chars``, where there is one, is set to the new length. Null texts stay null.
     """
-    marked = with_spans(docs, field, docs.columns)
+    marked = with_spans(as_rows(docs, "text"), field, ["row", "text"])
     step = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("done"))
 
     def replace(state, span):
@@ -459,7 +459,9 @@ def redact(docs: DataFrame, field: ChainField | None = None) -> DataFrame:
         return F.concat(state["out"], rest)
 
     text = F.when(F.size("spans") > 0, F.aggregate("spans", step, replace, finish)).otherwise(F.col("text"))
-    done = marked.withColumn("__redacted", text).drop("text").withColumnRenamed("__redacted", "text")
-    if "n_chars" in docs.columns:
-        done = done.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
-    return done.select(*docs.columns)
+    done = marked.select("row", text.alias("redacted"))
+    columns = {name: F.col("row")[name].alias(name) for name in docs.columns}
+    columns["text"] = F.col("redacted").alias("text")
+    if "n_chars" in columns:
+        columns["n_chars"] = F.length("redacted").cast(dict(docs.dtypes)["n_chars"]).alias("n_chars")
+    return done.select(*columns.values())

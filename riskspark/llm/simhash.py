@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from riskspark.llm.common import ready, signed, text_chunks
+from riskspark.llm.common import as_rows, ready, signed, text_chunks
 from riskspark.llm.components import connected_components
 from riskspark.sources.workdir import stage_table
 
@@ -68,10 +68,9 @@ def fingerprints_of(hashes: list[np.ndarray]) -> np.ndarray:
     return np.packbits(majority, axis=1, bitorder="little").view("<u8").reshape(-1)
 
 
-def with_fingerprint(docs: DataFrame, name: str = "fingerprint", keep: list[str] | None = None) -> DataFrame:
+def with_fingerprint(docs: DataFrame, name: str, keep: list[str]) -> DataFrame:
     """The columns ``keep`` and a long ``name`` with the SimHash of ``text``; null text is empty."""
     ready(docs.sparkSession)
-    keep = docs.columns if keep is None else keep
     source = docs.select(*keep, F.col("text").alias("__text"))
     schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField(name, T.LongType())])
 
@@ -194,13 +193,12 @@ def drop_near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame
     keepers = (
         near_duplicates(docs, max_bits)
         .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias("__id"), F.col("fp").alias("__fp"))
+        .select(F.col("doc_id").alias("keep_id"), F.col("fp").alias("keep_fp"))
         .distinct()
     )
-    marked = with_fingerprint(docs, "__own_fp").withColumn("__text_hash", F.xxhash64("text"))
+    rows = as_rows(docs, "doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    marked = with_fingerprint(rows, "own_fp", ["row", "doc_id", "text_hash"])
     kept = marked.join(
-        keepers,
-        F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own_fp") == F.col("__fp")),
-        "left_semi",
+        keepers, F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("own_fp") == F.col("keep_fp")), "left_semi"
     )
-    return kept.dropDuplicates(["doc_id", "__text_hash"]).select(*docs.columns)
+    return kept.dropDuplicates(["doc_id", "text_hash"]).select("row.*")

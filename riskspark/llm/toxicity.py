@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from riskspark.llm.common import ready, text_chunks, word_bounds, word_hashes
+from riskspark.llm.common import as_rows, ready, text_chunks, word_bounds, word_hashes
 from riskspark.sources.workdir import stage_table
 
 BUCKETS = 1 << 20
@@ -263,5 +263,4 @@ def score(docs: DataFrame, model: ToxicityModel, keep: list[str] | None = None)
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic."""
-    marked = score(docs, model, docs.columns)
-    return marked.where("predicted = 0").select(*docs.columns)
+    return score(as_rows(docs, "text"), model, ["row"]).where("predicted = 0").select("row.*")
