@@ -115,7 +115,8 @@ def fingerprint_components(distinct: DataFrame, max_bits: int = MAX_BITS) -> Dat
         .where("members > 1")
         .select("key", F.col("top.fp").alias("hub"))
     )
-    met = stage_table(entries.select("key", "fp").join(hubs, "key"), "simhash-keys")
+    # the planner's estimate does not know that each row became 64: it must not take the entries for small
+    met = stage_table(entries.select("key", "fp").hint("merge").join(hubs, "key"), "simhash-keys")
     links = stage_table(
         met.where((F.col("fp") != F.col("hub")) & _near("fp", "hub", max_bits))
         .select(F.col("fp").alias("a"), F.col("hub").alias("b"))
@@ -160,7 +161,7 @@ def fingerprint_components(distinct: DataFrame, max_bits: int = MAX_BITS) -> Dat
 
 
 def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """``doc_id``, ``fp`` (long) and ``component_id``, one row per input row.
+    """``doc_id``, ``text_hash``, ``fp`` (long) and ``component_id``, one row per input row.
 
     ``component_id`` is the smallest doc_id among all documents that can be reached over links of at
     most ``max_bits`` differing fingerprint bits, the document itself included. Null and blank texts
@@ -168,7 +169,8 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     component id unless its component has no other. Repeated rows stay repeated. Extra columns are
     not looked at. No rows give no rows.
     """
-    prints = stage_table(with_fingerprint(docs, "fp", ["doc_id"]), "simhash")
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    prints = stage_table(with_fingerprint(texts, "fp", ["doc_id", "text_hash"]), "simhash")
     distinct = stage_table(
         prints.groupBy("fp").agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("low")), "simhash-distinct"
     )
@@ -181,7 +183,7 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     )
     lowest = owned.groupBy("own").agg(F.min("low").alias("component_id"))
     labels = owned.join(lowest, "own").select("fp", "component_id")
-    return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(labels, "fp").select("doc_id", "text_hash", "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
@@ -193,12 +195,11 @@ def drop_near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame
     keepers = (
         near_duplicates(docs, max_bits)
         .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias("keep_id"), F.col("fp").alias("keep_fp"))
+        .select(F.col("doc_id").alias("keep_id"), F.col("text_hash").alias("keep_hash"))
         .distinct()
     )
-    rows = as_rows(docs, "doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    marked = with_fingerprint(rows, "own_fp", ["row", "doc_id", "text_hash"])
-    kept = marked.join(
-        keepers, F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("own_fp") == F.col("keep_fp")), "left_semi"
+    rows = as_rows(docs, "doc_id", F.xxhash64("text").alias("text_hash"))
+    kept = rows.join(
+        keepers, F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("text_hash") == F.col("keep_hash")), "left_semi"
     )
     return kept.dropDuplicates(["doc_id", "text_hash"]).select("row.*")
