@@ -138,15 +138,18 @@ def repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> Data
         for rows, data, offsets in text_chunks(batches):
             found = seed_runs(data, offsets, length, anchor)
             owner = _ids(rows, "doc_id")[found["row"]]
+            settled = _has_smaller([found["anchor"], found["run"]], owner)
+            # settled rows need no partner: any number instead of the anchor spreads them over all tasks
+            spread_out = mix((owner * 65_537 + found["start"]).astype(np.uint64))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(found["anchor"]),
+                    pa.array(np.where(settled, signed(spread_out), found["anchor"])),
                     pa.array(found["run"]),
                     pa.array(owner),
                     pa.array(_ids(rows, "text_hash")[found["row"]]),
                     pa.array(found["start"].astype(np.int32)),
                     pa.array(found["windows"].astype(np.int32)),
-                    pa.array(_has_smaller([found["anchor"], found["run"]], owner)),
+                    pa.array(settled),
                 ],
                 schema=_RUNS,
             )
@@ -189,7 +192,9 @@ def repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> Data
         .where("low < high")
         .select("anchor")
     )
-    met = stage_table(texts.mapInArrow(runs, ddl(_RUNS)).join(shared, "anchor"), "repeat-runs")
+    known = shared.select("anchor", F.lit(True).alias("shared"))
+    met = texts.mapInArrow(runs, ddl(_RUNS)).join(known, "anchor", "left").where("settled or shared").drop("shared")
+    met = stage_table(met, "repeat-runs")
     holders = stage_table(
         met.where("not settled").groupBy("anchor", "run").agg(F.min("doc_id").alias("holder")), "repeat-holders"
     )
