@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from riskspark.llm.common import as_rows
 from riskspark.llm.native import bitmap, gram_hash, in_bitmap, plain_words, word_ids
 from riskspark.sources.workdir import stage_table
 
@@ -75,6 +76,13 @@ def contaminated(
     null ids of items give no rows; a document without an id is reported under null. Repeated rows
     count as one. Extra columns are not looked at.
     """
+    return _overlaps(docs, benchmark, window, similarity).groupBy("doc_id", "item_id", "place").agg(
+        F.max("matched").alias("matched"), F.min("compared").alias("compared"), F.count_distinct("at").alias("hits")
+    )
+
+
+def _overlaps(docs: DataFrame, benchmark: DataFrame, window: int, similarity: float) -> DataFrame:
+    """A row per verified hit, with ``text_hash`` of the document beside its ``doc_id``."""
     items = benchmark.where("item_id is not null").select(
         "item_id", word_ids(plain_words(F.col("text"))).alias("item_ids")
     )
@@ -86,16 +94,16 @@ def contaminated(
     )
     count = seeds.count()
     parts = max(1, -(-count // MAX_BROADCAST))
-    texts = docs.select("doc_id", word_ids(plain_words(F.col("text"))).alias("ids"))
+    texts = docs.select(
+        "doc_id", F.xxhash64("text").alias("text_hash"), word_ids(plain_words(F.col("text"))).alias("ids")
+    )
     found = None
     for part in range(parts):
         few = seeds.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == part).drop("item")
         hits = _met(texts, few, min(22, max(16, (64 * count // parts).bit_length())))
         hits = _verified(hits, window, similarity)
         found = hits if found is None else found.union(hits)
-    return found.groupBy("doc_id", "item_id", "place").agg(
-        F.max("matched").alias("matched"), F.min("compared").alias("compared"), F.count_distinct("at").alias("hits")
-    )
+    return found
 
 
 def _met(texts: DataFrame, seeds: DataFrame, bits: int) -> DataFrame:
@@ -107,8 +115,8 @@ def _met(texts: DataFrame, seeds: DataFrame, bits: int) -> DataFrame:
     )
     # the expression itself, not a column of it: for a column the optimizer adds a filter that it
     # would compute from the text once more for every word
-    rows = hashed.select("doc_id", "ids", F.inline(likely))
-    rows = rows.select("doc_id", "ids", _position(F.col("pos")).alias("at"), "seed")
+    rows = hashed.select("doc_id", "text_hash", "ids", F.inline(likely))
+    rows = rows.select("doc_id", "text_hash", "ids", _position(F.col("pos")).alias("at"), "seed")
     return rows.join(F.broadcast(seeds), "seed").withColumn("place", F.col("at") - F.col("item_at"))
 
 
@@ -121,6 +129,7 @@ def _verified(met: DataFrame, window: int, similarity: float) -> DataFrame:
     width = F.least(F.lit(window), F.size("item_ids"))
     aligned = met.select(
         "doc_id",
+        "text_hash",
         "item_id",
         "place",
         "at",
@@ -135,7 +144,12 @@ def _verified(met: DataFrame, window: int, similarity: float) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that overlap with no benchmark item."""
-    bad = contaminated(docs, benchmark).select("doc_id").distinct()
-    bad = bad.select(F.col("doc_id").alias("bad_id"))
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
+    """The rows of ``docs`` whose text overlaps with no benchmark item, whatever other rows have their doc_id."""
+    bad = _overlaps(docs, benchmark, WINDOW, SIMILARITY).select(
+        F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")
+    ).distinct()
+    rows = as_rows(docs, "doc_id", F.xxhash64("text").alias("text_hash"))
+    clean = rows.join(
+        bad, F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.col("text_hash") == F.col("bad_hash")), "left_anti"
+    )
+    return clean.select("row.*")

@@ -203,3 +203,13 @@ def test_decontamination_of_odd_rows(documents, spark):
     assert decontaminate.contaminated(documents(rows), empty).count() == 0
     assert decontaminate.drop_contaminated(documents(rows), empty).count() == len(rows)
     assert decontaminate.contaminated(documents([]), benchmark).count() == 0
+
+
+def test_clean_rows_stay_beside_contaminated_ones_of_the_same_id(documents, spark):
+    item = " ".join(f"w{i}" for i in range(15))
+    clean = [(None, "a clean text"), (None, None), (9, "another clean text")]
+    df = documents([*clean, (None, item), (9, item)], extra=True)
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    kept = decontaminate.drop_contaminated(df, benchmark)
+    assert kept.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(clean, key=repr)
