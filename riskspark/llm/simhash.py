@@ -160,19 +160,12 @@ def fingerprint_components(distinct: DataFrame, max_bits: int = MAX_BITS) -> Dat
     return connected_components(stars.union(more), "a", "b")
 
 
-def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """``doc_id``, ``text_hash``, ``fp`` (long) and ``component_id``, one row per input row.
-
-    ``component_id`` is the smallest doc_id among all documents that can be reached over links of at
-    most ``max_bits`` differing fingerprint bits, the document itself included. Null and blank texts
-    have fingerprint zero and are linked like any other. A null doc_id keeps its row and never is a
-    component id unless its component has no other. Repeated rows stay repeated. Extra columns are
-    not looked at. No rows give no rows.
-    """
+def _owned(docs: DataFrame, max_bits: int, low: Column) -> tuple[DataFrame, DataFrame]:
+    """``doc_id``, ``text_hash``, ``fp`` of all rows; ``fp``, ``low`` (an aggregate), ``own`` (component) of each fp."""
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     prints = stage_table(with_fingerprint(texts, "fp", ["doc_id", "text_hash"]), "simhash")
     distinct = stage_table(
-        prints.groupBy("fp").agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("low")), "simhash-distinct"
+        prints.groupBy("fp").agg(F.count(F.lit(1)).alias("n_docs"), low.alias("low")), "simhash-distinct"
     )
     groups = fingerprint_components(distinct.select("fp", "n_docs"), max_bits)
     owned = stage_table(
@@ -181,6 +174,19 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         ),
         "simhash-owned",
     )
+    return prints, owned
+
+
+def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """``doc_id``, ``text_hash``, ``fp`` (long) and ``component_id``, one row per input row.
+
+    ``component_id`` is the smallest doc_id among all documents that can be reached over links of at
+    most ``max_bits`` differing fingerprint bits, the document itself included. Null and blank texts
+    have fingerprint zero and are linked like any other. A null doc_id keeps its row and never is a
+    component id unless its component has no other. Repeated rows stay repeated. Extra columns are
+    not looked at. No rows give no rows.
+    """
+    prints, owned = _owned(docs, max_bits, F.min("doc_id"))
     lowest = owned.groupBy("own").agg(F.min("low").alias("component_id"))
     labels = owned.join(lowest, "own").select("fp", "component_id")
     return prints.join(labels, "fp").select("doc_id", "text_hash", "fp", "component_id")
@@ -189,15 +195,13 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs``, one document of each component: the one with the smallest doc_id.
 
-    Rows that agree in doc_id and text count as one document and one of them stays. Documents
-    without an id go if their component has one with an id; else one of each text stays.
+    Documents without an id come after those with one, then the smallest text hash decides. Rows
+    that agree in doc_id and text count as one document and one of them stays.
     """
-    keepers = (
-        near_duplicates(docs, max_bits)
-        .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias("keep_id"), F.col("text_hash").alias("keep_hash"))
-        .distinct()
-    )
+    order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash")
+    _, owned = _owned(docs, max_bits, F.min(order))
+    keepers = owned.groupBy("own").agg(F.min("low").alias("low"))
+    keepers = keepers.select(F.col("low.doc_id").alias("keep_id"), F.col("low.text_hash").alias("keep_hash"))
     rows = as_rows(docs, "doc_id", F.xxhash64("text").alias("text_hash"))
     kept = rows.join(
         keepers, F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("text_hash") == F.col("keep_hash")), "left_semi"

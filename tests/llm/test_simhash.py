@@ -124,3 +124,13 @@ def test_no_rows(documents):
 def test_more_bits_than_two_halves_can_find(documents):
     with pytest.raises(ValueError):
         simhash.near_duplicates(documents([(1, "a")]), max_bits=4)
+
+
+def test_one_of_near_copies_without_an_id_or_with_one_id_stays(documents):
+    words = [f"w{i}" for i in range(2000)]
+    texts = [" ".join([*words[:k], *words[k + 1 :]]) for k in range(2000)]
+    first = _fingerprint(texts[0])
+    texts = [t for t in texts[:60] if (_fingerprint(t) ^ first).bit_count() <= 3]
+    assert len(texts) > 2
+    for i in (None, 7):
+        assert simhash.drop_near_duplicates(documents([(i, t) for t in texts])).count() == 1
