@@ -16,6 +16,7 @@ from riskspark.llm import (
     pii,
     simhash,
     substring_dedup,
+    tier_packing,
     toxicity,
 )
 from riskspark.llm.common import crc_mod, read_table
@@ -89,6 +90,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op13_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tier_packing.pack(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sum_of_squares_packing": op1_sum_of_squares_packing,
     "op2_tree_model_html": op2_tree_model_html,
@@ -100,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_spaced_seed_decontamination": op8_spaced_seed_decontamination,
     "op9_naive_bayes_language": op9_naive_bayes_language,
     "op10_simhash": op10_simhash,
+    "op13_tier_packing": op13_tier_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
