@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from riskspark.llm.common import WORD_BYTES, ready, text_chunks, word_bounds
+from riskspark.llm.common import WORD_BYTES, ready, text_chunks
 from riskspark.sources.workdir import stage_table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -40,6 +40,12 @@ GROUP_SIZE = 8192
 STEP_TOKENS = 65536
 #: Different words whose ids a task keeps at hand; then it starts afresh.
 KNOWN_WORDS = 400_000
+#: A control sign that is a word and a token of its own.
+BETWEEN = "\x01"
+#: White space 0, plain letters 2, points 3, all other bytes 1.
+_KINDS = WORD_BYTES.astype(np.uint8)
+_KINDS[[*range(65, 91), *range(97, 123)]] = 2
+_KINDS[list(b".,:;?!")] = 3
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 _PACKED = f"{_PIECES}, sequence_id long, offset long, tier int, step_group long"
@@ -49,8 +55,9 @@ class WordIds:
     """Token ids of texts by ``tokenizers``, each different word encoded once.
 
     The vocabulary drops white space before it looks at anything else, and none of its steps (NFC,
-    lower case, special tokens, the splitting pattern) reaches over white space: the ids of a text
-    are those of its words between ASCII white space, one after the other.
+    lower case, special tokens, the splitting pattern) reaches over white space, nor from a plain
+    letter to a full stop, comma, colon, semicolon, question or exclamation mark: the ids of a text
+    are those of the stretches between such places, one after the other.
     """
 
     def __init__(self, vocabulary: str):
@@ -59,40 +66,75 @@ class WordIds:
 
         self._tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
         self.width = "<u2" if self._tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        (self._between,) = self._tokenizer.encode(BETWEEN, add_special_tokens=False).ids
         self._forget()
 
     def _forget(self) -> None:
         self._slots: dict[str, int] = {}
-        self._counts, self._ids = np.zeros(0, np.int64), np.zeros(0, "<u4")
+        self._counts, self._ids = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words and how many each has.
+
+        Words of plain letters need nothing but the merges; the others go through the whole
+        tokenizer, many in one text with a sign between them.
+        """
+        found: dict[int, list[int]] = {}
+        merge, others = self._tokenizer.model.tokenize, []
+        for i, word in enumerate(words):
+            if word.isascii() and word.isalpha():
+                found[i] = [token.id for token in merge(word.lower())]
+            elif BETWEEN in word:
+                found[i] = self._tokenizer.encode(word, add_special_tokens=False).ids
+            else:
+                others.append(i)
+        for low in range(0, len(others), 1000):
+            part = others[low : low + 1000]
+            line = "".join(f"{words[i]} {BETWEEN} " for i in part)
+            ids = self._tokenizer.encode(line, add_special_tokens=False).ids
+            at = 0
+            for i in part:
+                end = ids.index(self._between, at)
+                found[i] = ids[at:end]
+                at = end + 1
+        lists = [found[i] for i in range(len(words))]
+        return np.array([i for ids in lists for i in ids], np.uint32), np.array([len(ids) for ids in lists], np.int64)
 
     def _slots_of(self, words: list[str]) -> np.ndarray:
         if len(self._slots) > KNOWN_WORDS:
             self._forget()
         fresh = [word for word in words if word not in self._slots]
         if fresh:
-            found = [e.ids for e in self._tokenizer.encode_batch(fresh, add_special_tokens=False)]
+            ids, counts = self._encode_words(fresh)
             self._slots.update(zip(fresh, range(len(self._slots), len(self._slots) + len(fresh))))
-            self._counts = np.concatenate([self._counts, np.array([len(ids) for ids in found], np.int64)])
-            self._ids = np.concatenate([self._ids, np.array([i for ids in found for i in ids], "<u4")])
-        return np.array([self._slots[word] for word in words], np.int64)
+            self._counts = np.concatenate([self._counts, counts])
+            self._ids = np.concatenate([self._ids, ids])
+        return np.fromiter(map(self._slots.__getitem__, words), np.int64, len(words))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, end ids included, and where each text begins."""
-        starts, ends, first = word_bounds(data, offsets)
-        bounds = np.concatenate(([0], np.cumsum(ends - starts))).astype(np.int64)
-        buffers = [None, pa.py_buffer(bounds), pa.py_buffer(data[WORD_BYTES[data]])]
+        # letters and points change places with each other inside a word only, so cuts stay in their text
+        kind = _KINDS[data]
+        inside = np.flatnonzero(kind)
+        kept, at = kind[inside], np.searchsorted(inside, offsets)
+        new = np.ones(len(inside), bool)
+        new[1:] = (np.diff(inside) > 1) | (kept[1:] * kept[:-1] == 6)
+        new[at[at < len(inside)]] = True
+        starts = np.flatnonzero(new)
+        bounds = np.append(starts, len(inside)).astype(np.int64)
+        buffers = [None, pa.py_buffer(bounds), pa.py_buffer(data[inside])]
         words = pa.Array.from_buffers(pa.large_string(), len(starts), buffers).dictionary_encode()
         slots = self._slots_of(words.dictionary.to_pylist())[words.indices.to_numpy()]
         counts = self._counts[slots]
         # the ids of a word lie side by side in the pool; token t of the words goes t places after them
-        pool = np.concatenate(([0], np.cumsum(self._counts)))[slots]
+        pool = (np.cumsum(self._counts) - self._counts)[slots]
         before = np.concatenate(([0], np.cumsum(counts)))
         places = np.arange(before[-1]) + np.repeat(pool - before[:-1], counts)
         texts = len(offsets) - 1
-        begins = before[first] + np.arange(texts + 1)
-        ids = np.full(begins[-1], END_ID, "<u4")
-        text_of = np.repeat(np.arange(texts), np.diff(before[first]))
-        ids[np.arange(before[-1]) + text_of] = self._ids[places]
+        bodies = before[np.searchsorted(starts, at)]
+        begins = bodies + np.arange(texts + 1)
+        ids = np.full(begins[-1], END_ID, np.uint32)
+        ids[np.arange(before[-1]) + np.repeat(np.arange(texts), np.diff(bodies))] = self._ids[places]
         return ids, begins
 
 

@@ -42,7 +42,7 @@ def _check(rows, texts, reference, tiers):
 @pytest.mark.parametrize("tiers", [(4, 8, 16), (2048,), tier_packing.TIERS])
 def test_ids_equal_the_tokenizer_and_nothing_is_padded(documents, reference, tiers):
     rng = random.Random(5)
-    signs = [*"abZ é漢ß\n'12,.  İΣς́", "<|endoftext|>", "<|startoftext|>", "'s ", "'LL", "\r\n", "🙂"]
+    signs = [*"abZ é漢ß\n'12,.  İΣς́", "<|endoftext|>", "<|startoftext|>", "'s ", "'LL", "\r\n", "🙂", "\x01", ".", "!?", "\x00"]
     texts = {i: "".join(rng.choices(signs, k=rng.randrange(200))) for i in range(70)}
     texts |= {100: "<|endoftext|>", 101: "<|EndOfText|> x<|endoftext|><|endoftext|>y", 102: "longer " * 3000}
     rows = tier_packing.pack(documents(texts.items(), extra=True), tiers, group_size=25).collect()
