@@ -15,6 +15,7 @@ from riskspark.llm import (
     packing,
     pii,
     simhash,
+    spelling,
     substring_dedup,
     tier_packing,
     toxicity,
@@ -90,6 +91,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(read_table(spark, sf_dir, "documents"))
+
+
 def op13_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tier_packing.pack(read_table(spark, sf_dir, "documents"))
 
@@ -105,9 +110,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_spaced_seed_decontamination": op8_spaced_seed_decontamination,
     "op9_naive_bayes_language": op9_naive_bayes_language,
     "op10_simhash": op10_simhash,
+    "op11_spelling_variants": op11_spelling_variants,
     "op13_tier_packing": op13_tier_packing,
 }
 
+#: CRC-32 of a byte list ``b`` from a state, by its table of 256 entries made from the polynomial.
+_CRC_TABLE = """crc_table AS (
+    SELECT list(list_reduce(range(1, 9), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, v) ORDER BY v) AS t
+    FROM (SELECT unnest(range(0, 256)) AS v)
+)"""
+_CRC = """xor(4294967295, list_reduce([instr('0123456789ABCDEF', hex({text})[2 * k - 1]) * 16 + instr('0123456789ABCDEF', hex({text})[2 * k]) - 17
+    FOR k IN range(1, strlen({text}) + 1)], lambda c, b: xor(t[xor(c, b) % 256 + 1], c >> 8), 4294967295))"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_seed_extend_dedup": r"""
 WITH words AS (
@@ -127,5 +141,34 @@ WITH words AS (
     FROM words LEFT JOIN cuts USING (doc_id)
 )
 SELECT doc_id, n AS n_words, n - len(k) AS n_removed, sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept
+""",
+    "op11_spelling_variants": f"""
+WITH RECURSIVE {_CRC_TABLE}, runs AS (
+    SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+    FROM documents
+), counted AS (
+    SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY ALL
+), checked AS (
+    SELECT run, n, {_CRC.format(text="(coalesce(doc_id::VARCHAR, '') || ':' || run)")} AS h FROM counted, crc_table
+), words AS (
+    SELECT word, sum(n)::BIGINT AS n
+    FROM (SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM checked)
+    WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), cuts AS (
+    SELECT word, k, left(word, k - 1) || substr(word, k + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS k FROM words)
+), near AS (
+    SELECT a.word, b.word AS near FROM cuts a JOIN cuts b USING (k, rest) WHERE a.word <> b.word AND length(a.word) = length(b.word)
+    UNION SELECT c.word, w.word FROM cuts c JOIN words w ON c.rest = w.word
+    UNION SELECT w.word, c.word FROM cuts c JOIN words w ON c.rest = w.word
+), best AS (
+    SELECT near.word, count(*) AS n_near, min((-o.n, near.near)) AS top FROM near JOIN words o ON o.word = near.near GROUP BY near.word
+), forms AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -top[1] >= 10 * n THEN top[2] END AS form, CASE WHEN -top[1] >= 10 * n THEN -top[1] END AS form_n
+    FROM words LEFT JOIN best USING (word)
+), ways AS (
+    SELECT word, form, word AS at FROM forms
+    UNION ALL SELECT ways.word, forms.form, forms.word FROM ways JOIN forms ON ways.form = forms.word
+)
+SELECT word, forms.form, ways.at AS root, n, n_near, form_n FROM forms JOIN ways USING (word) WHERE ways.form IS NULL
 """,
 }

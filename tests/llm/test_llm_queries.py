@@ -22,6 +22,7 @@ COLUMNS = {
     8: "doc_id:bigint item_id:bigint",
     9: "doc_id:bigint held_out:boolean lang_pred:string score:double",
     10: "doc_id:bigint fingerprint:string component_id:bigint",
+    11: "word:string form:string root:string n:bigint n_near:bigint form_n:bigint",
     13: "doc_id:bigint start:bigint length:bigint ids_crc32:bigint doc_tokens:bigint sequence_id:bigint offset:bigint",
 }
 NAMES = {int(re.match(r"op(\d+)_", name)[1]): name for name in queries.QUERIES}
@@ -34,6 +35,8 @@ def test_columns_and_one_row_per_row(spark, number):
     for column in COLUMNS[number].split():
         name, kind = column.split(":")
         assert kinds[name] == kind
+    if number == 11:
+        return
     rows = df.count()
     table = "pages" if number == 2 else "documents"
     whole = spark.read.parquet(f"{SF_DIR}/{table}.parquet").count()
