@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -12,6 +13,7 @@ from riskspark.llm import (
     html_extract,
     language_id,
     license_scan,
+    merkle,
     packing,
     pii,
     simhash,
@@ -95,6 +97,15 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(read_table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lowered = merkle.leaf_of(F.translate("text", ascii_uppercase, ascii_lowercase))
+    other = F.when(crc_mod("doc_id", 5) == 0, lowered)
+    rows = merkle.manifest(read_table(spark, sf_dir, "documents"), tampered=other)
+    return merkle.verify(rows, F.coalesce("tampered", "leaf")).select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
 def op13_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tier_packing.pack(read_table(spark, sf_dir, "documents"))
 
@@ -111,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_naive_bayes_language": op9_naive_bayes_language,
     "op10_simhash": op10_simhash,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "op13_tier_packing": op13_tier_packing,
 }
 
@@ -122,6 +134,64 @@ _CRC_TABLE = """crc_table AS (
 _CRC = """xor(4294967295, list_reduce([instr('0123456789ABCDEF', hex({text})[2 * k - 1]) * 16 + instr('0123456789ABCDEF', hex({text})[2 * k]) - 17
     FOR k IN range(1, strlen({text}) + 1)], lambda c, b: xor(t[xor(c, b) % 256 + 1], c >> 8), 4294967295))"""
 
+def _merkle_sql(levels: int = 6) -> str:
+    """The manifest by unrolled levels of both trees; 16 ** 6 rows of a source are more than SQL is run on."""
+
+    def coded(text: str) -> str:
+        values = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+        return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+    def tree(name: str, key: str) -> str:
+        """From ``name``0 (key, depth, rank, digest): all levels, and the siblings of each node."""
+        parts = []
+        for level in range(1, levels + 1):
+            below = f"{name}{level - 1}"
+            frame = f"PARTITION BY {key}, rank // 16 ORDER BY rank ROWS BETWEEN"
+            parts.append(
+                f"""{name}{level} AS (SELECT {key}, depth, rank // 16 AS rank,
+    CASE WHEN depth >= {level} THEN sha256(string_agg(digest, '' ORDER BY rank)) ELSE min(digest) END AS digest
+    FROM {below} GROUP BY {key}, depth, rank // 16)"""
+            )
+            parts.append(
+                f"""{name}_steps{level} AS (SELECT {key}, rank, depth >= {level} AS is_step,
+    coalesce(string_agg(digest, '') OVER ({frame} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS b,
+    coalesce(string_agg(digest, '') OVER ({frame} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS a FROM {below})"""
+            )
+        return ", ".join(parts)
+
+    def depth(count: str) -> str:
+        return "CASE " + " ".join(f"WHEN {count} <= {16**level} THEN {level}" for level in range(levels + 1)) + " END"
+
+    def climb(before: str, name: str, key: str, rank: str) -> str:
+        """The proof and the folded digest of every row after all levels of a tree."""
+        parts = []
+        for level in range(1, levels + 1):
+            parts.append(
+                f"""{name}_up{level} AS (SELECT u.* REPLACE (CASE WHEN is_step THEN proof || b || a ELSE proof END AS proof,
+    CASE WHEN is_step THEN sha256(b || folded || a) ELSE folded END AS folded)
+    FROM {before} u JOIN {name}_steps{level} s ON u.{key} IS NOT DISTINCT FROM s.{key} AND u.{rank} // {16 ** (level - 1)} = s.rank)"""
+            )
+            before = f"{name}_up{level}"
+        return ", ".join(parts)
+
+    lowered = f"translate(text, '{ascii_uppercase}', '{ascii_lowercase}')"
+    return f"""
+WITH {_CRC_TABLE}, leaves AS (
+    SELECT doc_id, source, {coded("text")} AS digest, CASE WHEN {_CRC.format(text="doc_id::VARCHAR")} % 5 = 0 THEN {coded(lowered)} END AS tampered
+    FROM documents, crc_table
+), doc0 AS (
+    SELECT *, {depth("count(*) OVER (PARTITION BY source)")} AS depth,
+        row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, digest) - 1 AS rank FROM leaves
+), {tree("doc", "source")}, top0 AS (
+    SELECT 0 AS one, source, digest, {depth("count(*) OVER ()")} AS depth, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS rank FROM doc{levels}
+), {tree("top", "one")}, start AS (
+    SELECT d.doc_id, d.source, d.digest AS leaf, d.rank, t.rank AS top_rank, 0 AS one, t.digest AS subroot, r.digest AS root, '' AS proof, coalesce(tampered, d.digest) AS folded
+    FROM doc0 d JOIN top0 t ON d.source IS NOT DISTINCT FROM t.source, top{levels} r
+), {climb("start", "doc", "source", "rank")}, {climb(f"doc_up{levels}", "top", "one", "top_rank")}
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified FROM top_up{levels}
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op3_seed_extend_dedup": r"""
 WITH words AS (
@@ -171,4 +241,5 @@ WITH RECURSIVE {_CRC_TABLE}, runs AS (
 )
 SELECT word, forms.form, ways.at AS root, n, n_near, form_n FROM forms JOIN ways USING (word) WHERE ways.form IS NULL
 """,
+    "op12_merkle_manifest": _merkle_sql(),
 }

@@ -23,6 +23,7 @@ COLUMNS = {
     9: "doc_id:bigint held_out:boolean lang_pred:string score:double",
     10: "doc_id:bigint fingerprint:string component_id:bigint",
     11: "word:string form:string root:string n:bigint n_near:bigint form_n:bigint",
+    12: "doc_id:bigint leaf:string subroot:string root:string proof_sha256:string folded_root:string verified:boolean",
     13: "doc_id:bigint start:bigint length:bigint ids_crc32:bigint doc_tokens:bigint sequence_id:bigint offset:bigint",
 }
 NAMES = {int(re.match(r"op(\d+)_", name)[1]): name for name in queries.QUERIES}
