@@ -34,6 +34,7 @@ DROP_EVERY = 31
 RATIO = 10
 BLOCK_SIZE = 4096
 GROUP_SIZE = 1024
+GROUPS_PER_TASK = 64
 #: Different words that a task counts before it hands them on.
 COUNTED_WORDS = 300_000
 
@@ -206,7 +207,10 @@ def near_words(words: DataFrame, block_size: int = BLOCK_SIZE, group_size: int =
         left, right = _linked(sorted(set(table["word"].to_pylist())))
         return pa.Table.from_arrays([pa.array(left, pa.string()), pa.array(right, pa.string())], names=["word", "near"])
 
-    dealt = entries.select("word", F.pmod(F.xxhash64(*_KEY), F.lit(groups)).alias("group"))
+    # their bytes do not tell what groups cost, so the number of tasks is given
+    dealt = entries.select("word", F.pmod(F.xxhash64(*_KEY), F.lit(groups)).alias("group")).repartition(
+        1 + groups // GROUPS_PER_TASK, "group"
+    )
     pairs = dealt.groupBy("group").applyInArrow(run, "word string, near string").distinct()
     ways = F.array(F.struct("word", "near"), F.struct(F.col("near").alias("word"), F.col("word").alias("near")))
     return pairs.select(F.inline(ways))
