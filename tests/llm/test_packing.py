@@ -14,7 +14,6 @@ from tests.llm.conftest import ODD
 @pytest.fixture(scope="module")
 def reference():
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
 
 
@@ -44,7 +43,10 @@ def _check(rows, texts, reference, sequence):
 @pytest.mark.parametrize("sequence", [16, 2048])
 def test_pieces_equal_the_tokenizer_and_fit(documents, reference, sequence):
     rng = random.Random(1)
-    texts = {i: "".join(rng.choices("ab é漢 \n<|endoftext|> 12'", k=rng.randrange(120))) for i in range(60)}
+    signs = [*"ab é漢 \n 12'", "<|endoftext|>", "<|endof"]
+    texts = {i: "".join(rng.choices(signs, k=rng.randrange(120))) for i in range(60)}
+    end = "<|endoftext|>"
+    texts |= {100: end, 101: f"{end} x", 102: f"x  {end}  y", 103: f"x{end}{end}", 104: f"hello {end} x"}
     rows = packing.pack(documents(texts.items(), extra=True), sequence, group_size=25).collect()
     _check(rows, texts, reference, sequence)
 
