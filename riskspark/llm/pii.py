@@ -28,8 +28,9 @@ from riskspark.llm.common import Rolling, as_rows, mix, ready, text_chunks, word
 BASE_KINDS = ("email", "ip", "card", "phone")
 #: All kinds; the field has one label for each and one for other words.
 KINDS = (*BASE_KINDS, "secret", "id")
-#: Words of a sentence at most; a longer stretch without a full stop is cut.
+#: Words after which a stretch without a full stop may be cut, where ``CALM`` words on either side are letters alone.
 SENTENCE = 128
+CALM = 3
 #: Occurrences in the labelled table that make a shape, a coarse shape or a form known to the field.
 KNOWN = (2, 2, 12)
 
@@ -39,6 +40,10 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
+#: Bytes of letters; those of non-ASCII characters count as such.
+_LETTERS = np.arange(256) >= 128
+_LETTERS[[*range(65, 91), *range(97, 123)]] = True
+
 
 def luhn(digits: str) -> bool:
     total = 0
@@ -129,8 +134,23 @@ def word_features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return np.stack([mix(shape + mix(steps)), coarse, form])
 
 
+def _calm_places(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Words before which a cut changes no label of interest.
+
+    Words of letters alone are never marked, and no feature reaches further than two words, so a cut
+    amid six such words parts no span and hides no cue.
+    """
+    others = np.append(0, np.cumsum(~_LETTERS[data]))
+    letters = np.append(0, np.cumsum(others[ends] == others[starts]))
+    at = np.arange(CALM, len(starts) - CALM + 1)
+    return at[letters[at + CALM] - letters[at - CALM] == 2 * CALM]
+
+
 def sentence_starts(data: np.ndarray, ends: np.ndarray, starts: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Indexes of words that begin a sentence: after a full stop, a line end, or ``SENTENCE`` words."""
+    """Indexes of words that begin a sentence: after a full stop or a line end.
+
+    A long stretch without them is cut too, at calm places only; without one it stays whole.
+    """
     begins = np.zeros(len(starts) + 1, bool)
     begins[first] = True
     if len(starts):
@@ -140,9 +160,18 @@ def sentence_starts(data: np.ndarray, ends: np.ndarray, starts: np.ndarray, firs
         begins[1:-1] |= stop[:-1] | newline
     begins = np.flatnonzero(begins[:-1])
     sizes = np.diff(np.append(begins, len(starts)))
+    cuts = []
     if (sizes > SENTENCE).any():
-        begins = np.concatenate([np.arange(b, b + n, SENTENCE) for b, n in zip(begins.tolist(), sizes.tolist())])
-    return begins
+        calm = _calm_places(data, starts, ends)
+        for low, size in zip(begins[sizes > SENTENCE].tolist(), sizes[sizes > SENTENCE].tolist()):
+            end = low + size
+            while True:
+                at = int(np.searchsorted(calm, low + SENTENCE))
+                if at == len(calm) or calm[at] >= end:
+                    break
+                low = int(calm[at])
+                cuts.append(low)
+    return np.sort(np.concatenate([begins, np.array(cuts, np.int64)])) if cuts else begins
 
 
 class ChainField:

@@ -313,3 +313,12 @@ def test_odd_pages(spark):
     by_id = {r.page_id: r.text for r in got if r.url}
     assert by_id[0] == by_id[1] == by_id[2] == "" and by_id[3] == pages[3]
     assert html_extract.extract(df.limit(0)).count() == 0
+
+
+def test_personal_data_over_a_long_stretch_without_stops(documents):
+    filler = ["word"] * 126
+    texts = {k: " ".join([*filler, *["word"] * k, "call", "(212)", "555-0199", *filler * 3]) for k in range(6)}
+    whole = {r.doc_id: r.spans for r in pii.with_spans(documents([(9, "word word call (212) 555-0199 word word word")])).collect()}
+    length = sum(s["end"] - s["start"] for s in whole[9])
+    for r in pii.with_spans(documents(texts.items())).collect():
+        assert sum(s["end"] - s["start"] for s in r.spans) == length > 0
