@@ -8,9 +8,9 @@ words (the whole item if it is shorter) agrees in at least ``similarity`` of its
 
 Before the join a bitmap of the benchmark's hashes takes out the positions that cannot meet any, a
 row at a time, so only a few positions become rows and can carry their document's words with them:
-no text is shuffled. The benchmark's seeds are broadcast only if a count shows that they are at most
-``MAX_BROADCAST`` rows; else the benchmark is gone through in parts of that size, each against all
-documents.
+no text is shuffled. The benchmark's seeds, three numbers each, are broadcast only if a count shows that
+they are at most ``MAX_BROADCAST`` rows; else the benchmark is gone through in parts of that size, each
+against all documents. The words of items meet the hits by a join of their own.
 """
 
 from __future__ import annotations
@@ -87,11 +87,9 @@ def _overlaps(docs: DataFrame, benchmark: DataFrame, window: int, similarity: fl
         "item_id", word_ids(plain_words(F.col("text"))).alias("item_ids")
     )
     items = items.where(F.size("item_ids") >= SHORTEST).distinct()
-    items = items.withColumn("item", F.xxhash64("item_id", "item_ids"))
-    placed = items.select("item_id", "item_ids", "item", F.posexplode(_seed_array(F.col("item_ids"))).alias("pos", "seed"))
-    seeds = stage_table(
-        placed.select("item_id", "item_ids", "item", _position(F.col("pos")).alias("item_at"), "seed"), "seeds"
-    )
+    items = stage_table(items.withColumn("item", F.xxhash64("item_id", "item_ids")), "items")
+    placed = items.select("item", F.posexplode(_seed_array(F.col("item_ids"))).alias("pos", "seed"))
+    seeds = stage_table(placed.select("item", _position(F.col("pos")).alias("item_at"), "seed"), "seeds")
     count = seeds.count()
     parts = max(1, -(-count // MAX_BROADCAST))
     texts = docs.select(
@@ -99,15 +97,15 @@ def _overlaps(docs: DataFrame, benchmark: DataFrame, window: int, similarity: fl
     )
     found = None
     for part in range(parts):
-        few = seeds.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == part).drop("item")
+        few = seeds.where(F.pmod(F.xxhash64("seed", "item"), F.lit(parts)) == part)
         hits = _met(texts, few, min(22, max(16, (64 * count // parts).bit_length())))
-        hits = _verified(hits, window, similarity)
+        hits = _verified(hits.join(items, "item"), window, similarity)
         found = hits if found is None else found.union(hits)
     return found
 
 
 def _met(texts: DataFrame, seeds: DataFrame, bits: int) -> DataFrame:
-    """Positions of texts that share a seed with an item, with the words of both."""
+    """Positions of texts that share a seed with an item, with the words of the text."""
     hashed = texts.withColumn("hashes", _seed_array(F.col("ids"))).withColumn("bits_set", bitmap(seeds, "seed", bits))
     likely = F.filter(
         F.transform("hashes", lambda seed, pos: F.struct(pos.alias("pos"), seed.alias("seed"))),
@@ -123,8 +121,10 @@ def _met(texts: DataFrame, seeds: DataFrame, bits: int) -> DataFrame:
 def _verified(met: DataFrame, window: int, similarity: float) -> DataFrame:
     skipped = F.greatest(F.lit(0), -F.col("place"))
     rest = F.size("item_ids") - skipped
-    agreement = _agreement(
-        F.slice("item_ids", skipped + 1, rest), F.slice("ids", F.col("place") + skipped + 1, rest)
+    # an item that begins before the document has no agreement there, as one that ends after it
+    agreement = F.concat(
+        F.array_repeat(F.lit(0), skipped),
+        _agreement(F.slice("item_ids", skipped + 1, rest), F.slice("ids", F.col("place") + skipped + 1, rest)),
     )
     width = F.least(F.lit(window), F.size("item_ids"))
     aligned = met.select(
@@ -137,9 +137,7 @@ def _verified(met: DataFrame, window: int, similarity: float) -> DataFrame:
         F.ceil(width * similarity).alias("needed"),
         agreement.alias("agreement"),
     )
-    best = F.when(
-        F.size("agreement") >= F.col("compared"), _best_window(F.col("agreement"), F.col("compared"))
-    )
+    best = _best_window(F.col("agreement"), F.col("compared"))
     return aligned.withColumn("matched", best).where("matched >= needed")
 
 

@@ -152,8 +152,7 @@ def _overlap(doc, item):
     need = -(-width * 4 // 5)
     for place in range(-len(item) + 1, len(doc)):
         same = [0 <= place + k < len(doc) and doc[place + k] == w for k, w in enumerate(item)]
-        inside = [k for k in range(len(item)) if 0 <= place + k < len(doc)]
-        if len(inside) >= width and max(sum(same[i : i + width]) for i in range(inside[0], inside[-1] - width + 2)) >= need:
+        if max(sum(same[i : i + width]) for i in range(len(item) - width + 1)) >= need:
             return True
     return False
 
@@ -181,6 +180,14 @@ def test_overlaps_equal_brute_force(documents, spark, capsys):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({i for i, _ in rows} - {i for i, _ in want})
 
 
+def test_overlaps_cut_off_by_either_end_of_a_document(documents, spark):
+    item = [f"w{i}" for i in range(20)]
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    rows = [(1, " ".join(item[1:] + ["x"] * 30)), (2, " ".join(["x"] * 30 + item[:19])), (3, " ".join(item[4:])), (4, " ".join(item[5:] + ["x"]))]
+    got = {(r.doc_id, r.place, r.matched) for r in decontaminate.contaminated(documents(rows), benchmark).collect()}
+    assert got == {(1, -1, 19), (2, 30, 19), (3, -4, 16)}
+
+
 def test_a_benchmark_in_parts_gives_the_same(documents, spark, monkeypatch):
     items = [(k, " ".join(f"v{k * 7 + j}" for j in range(20))) for k in range(9)]
     rows = [(i, f"a b {items[i % 9][1]} c") for i in range(20)]
