@@ -31,6 +31,8 @@ KINDS = (*BASE_KINDS, "secret", "id")
 #: Words after which a stretch without a full stop may be cut, where ``CALM`` words on either side are letters alone.
 SENTENCE = 128
 CALM = 3
+#: Text bytes labelled in one go: each word has a row of numbers for every feature and label meanwhile.
+CHUNK = 1 << 20
 #: Occurrences in the labelled table that make a shape, a coarse shape or a form known to the field.
 KNOWN = (2, 2, 12)
 
@@ -446,7 +448,7 @@ def with_spans(docs: DataFrame, field: ChainField | None = None, keep: list[str]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = {kind: i for i, kind in enumerate(KINDS)}
         as_structs = lambda spans: [{"start": a, "end": b, "kind": k} for a, b, k in spans]
-        for rows, data, offsets in text_chunks(batches, "__text"):
+        for rows, data, offsets in text_chunks(batches, "__text", CHUNK):
             body, base, merged = data.tobytes(), [], []
             points = np.append(0, np.cumsum((data & 0xC0) != 0x80))
             learned = field_spans(shared.value, data, offsets)
