@@ -36,8 +36,6 @@ ACTION_TOP_IDS = 5
 
 # --- fixed values: text features and clustering ---------------------------------
 CLUSTER_COUNTS = (4, 6, 8, 10, 12)
-#: No limit: the largest size that the counters take.
-WHOLE_VOCABULARY = 2**31 - 1
 VOCABULARY_SIZE = 500
 MIN_DOCUMENTS = 20
 CATEGORY_VOCABULARY_SIZE = 30

@@ -1,10 +1,16 @@
-"""Text, category and numeric features, k-means and cluster topics."""
+"""Text, category and numeric features, k-means and cluster topics.
+
+Vectors for k-means number terms by a hash, or by a vocabulary where its size is a setting; neither
+grows with the records. Whatever names terms, like the topics, works on the long tables of
+``riskspark.operators.terms``.
+"""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.ml import Pipeline
@@ -14,7 +20,7 @@ from pyspark.ml.feature import (
     IDF,
     PCA,
     CountVectorizer,
-    CountVectorizerModel,
+    HashingTF,
     StopWordsRemover,
     VectorAssembler,
 )
@@ -25,7 +31,8 @@ from pyspark.sql import DataFrame, functions as F
 from riskspark import constants as K, schemas
 from riskspark.functions import scores
 from riskspark.functions.text import clean_text, words
-from riskspark.operators.ranking import ranked_values, top_k_per_group, top_values
+from riskspark.operators import measures, terms
+from riskspark.operators.ranking import top_values
 from riskspark.sources.workdir import stage_table
 
 KEY = "cve_id"
@@ -35,15 +42,18 @@ KEY = "cve_id"
 class FeatureSettings:
     """Which terms and dimensions features keep; by default all of them.
 
+    Without a size terms and categories are numbered by a hash into ``buckets`` dimensions each, so
+    that centres stay of one size; terms of one bucket count together in the distances only.
     ``SMALL_FEATURES`` is a small model: rare terms, all but the most frequent ones and all but the
     first principal components are lost in it.
     """
 
-    vocabulary_size: int = K.WHOLE_VOCABULARY
+    vocabulary_size: int | None = None
     min_documents: int = 1
-    category_size: int = K.WHOLE_VOCABULARY
+    category_size: int | None = None
     category_min_documents: int = 1
     pca_components: int | None = None
+    buckets: int = 1 << 16
 
 
 SMALL_FEATURES = FeatureSettings(
@@ -85,29 +95,25 @@ def words_of(prepared: DataFrame) -> DataFrame:
     return prepared.withColumn("words", kept).drop("clean_text")
 
 
+def _counter(source: str, target: str, size: int | None, least: int, buckets: int, binary: bool):
+    if size is None:
+        return HashingTF(inputCol=source, outputCol=target, numFeatures=buckets, binary=binary)
+    return CountVectorizer(inputCol=source, outputCol=target, vocabSize=size, minDF=least, binary=binary)
+
+
 def text_stages(settings: FeatureSettings) -> list:
-    return [
-        CountVectorizer(
-            inputCol="words",
-            outputCol="term_counts",
-            vocabSize=settings.vocabulary_size,
-            minDF=settings.min_documents,
-        ),
-        IDF(inputCol="term_counts", outputCol="tfidf"),
-    ]
+    counter = _counter(
+        "words", "term_counts", settings.vocabulary_size, settings.min_documents, settings.buckets, False
+    )
+    weigh = IDF(inputCol="term_counts", outputCol="tfidf")
+    if settings.vocabulary_size is None:
+        weigh.setMinDocFreq(settings.min_documents)
+    return [counter, weigh]
 
 
 def category_stages(settings: FeatureSettings) -> list:
-    return [
-        CountVectorizer(
-            inputCol=column,
-            outputCol=f"{column}_vector",
-            vocabSize=settings.category_size,
-            minDF=settings.category_min_documents,
-            binary=True,
-        )
-        for column in ("cwes", "cpe_vendors")
-    ]
+    sizes = (settings.category_size, settings.category_min_documents, settings.buckets)
+    return [_counter(column, f"{column}_vector", *sizes, True) for column in ("cwes", "cpe_vendors")]
 
 
 def assembly_stages() -> list:
@@ -124,8 +130,8 @@ def assembly_stages() -> list:
 
 def build_features(
     prepared: DataFrame, settings: FeatureSettings = FeatureSettings()
-) -> tuple[DataFrame, list[str]]:
-    """Feature table and vocabulary.
+) -> tuple[DataFrame, DataFrame]:
+    """Feature table and the long table of term weights.
 
     Texts are split into words once; words and assembled vectors are written out, as fitting reads
     them several times. The result keeps only the columns that clustering and topics need.
@@ -133,12 +139,8 @@ def build_features(
     worded = stage_table(words_of(prepared), "words")
     stages = text_stages(settings) + category_stages(settings) + assembly_stages()
     model = Pipeline(stages=stages).fit(worded)
-    counters = [stage for stage in model.stages if isinstance(stage, CountVectorizerModel)]
     assembled = stage_table(
-        model.transform(worded).select(
-            KEY, "assembled", "tfidf", "cwes", "cpe_vendors", "is_kev"
-        ),
-        "features",
+        model.transform(worded).select(KEY, "assembled", "cwes", "cpe_vendors", "is_kev"), "features"
     )
     if settings.pca_components is None:
         features = assembled.withColumnRenamed("assembled", "features")
@@ -146,13 +148,25 @@ def build_features(
         # more components than dimensions are an error of the caller's
         pca = PCA(k=settings.pca_components, inputCol="assembled", outputCol="features")
         features = stage_table(pca.fit(assembled).transform(assembled).drop("assembled"), "pca")
-    return features, counters[0].vocabulary
+    weights = terms.term_weights(worded, settings.min_documents, settings.vocabulary_size)
+    return features, stage_table(weights, "term-weights")
+
+
+def feature_entries(prepared: DataFrame, weights: DataFrame, settings: FeatureSettings = FeatureSettings()) -> DataFrame:
+    """All features as a long table (``cve_id``, ``dim``, ``value``) without zeros, named, not numbered."""
+    found = [weights.select(KEY, F.concat(F.lit("term:"), "term").alias("dim"), F.col("weight").alias("value"))]
+    for column in ("cwes", "cpe_vendors"):
+        rows = terms.category_rows(prepared, column, settings.category_min_documents, settings.category_size)
+        found.append(rows.select(KEY, F.concat(F.lit(f"{column}:"), "value").alias("dim"), F.lit(1.0).alias("value")))
+    for column in ("cvss_scaled", "epss_percentile", "is_kev"):
+        found.append(prepared.select(KEY, F.lit(column).alias("dim"), F.col(column).cast("double").alias("value")))
+    return reduce(DataFrame.union, found).where("value <> 0")
 
 
 def davies_bouldin(predictions: DataFrame, cluster: str = "prediction") -> float:
-    """Davies-Bouldin index over all rows, infinite for fewer than two clusters.
+    """Davies-Bouldin index over all rows of short vectors, infinite for fewer than two clusters.
 
-    Two aggregations with map-side combine reduce the rows to one centre and one mean distance per
+    For vectors of many dimensions take ``measures.davies_bouldin``. Two aggregations with map-side combine reduce the rows to one centre and one mean distance per
     cluster; only those k rows reach the driver, where every cluster is compared with every other.
     """
     centres = {
@@ -197,18 +211,26 @@ def try_cluster_counts(
     counts: Sequence[int] = K.CLUSTER_COUNTS,
     seed: int = K.KMEANS_SEED,
     iterations: int = K.KMEANS_ITERATIONS,
+    entries: DataFrame | None = None,
 ) -> tuple[DataFrame, dict[int, KMeansModel]]:
-    """Quality measures per cluster count, and the fitted models, so the best needs no refit."""
+    """Quality measures per cluster count, and the fitted models, so the best needs no refit.
+
+    With ``entries``, the features as a sparse long table, they are measured there.
+    """
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
     models, rows = {}, []
     for k in counts:
         model = KMeans(k=k, seed=seed, maxIter=iterations).fit(features)
         predictions = model.transform(features)
+        models[k] = model
+        if entries is not None:
+            found = measures.moments(entries, predictions.select(KEY, F.col("prediction").alias("cluster_id")))
+            rows.append((k, measures.silhouette(found), measures.cost(found), measures.davies_bouldin(found)))
+            continue
         # silhouette is undefined when everything falls into one cluster
         used = sum(size > 0 for size in model.summary.clusterSizes)
         silhouette = float(evaluator.evaluate(predictions)) if used > 1 else None
         rows.append((k, silhouette, float(model.summary.trainingCost), davies_bouldin(predictions)))
-        models[k] = model
     metrics = features.sparkSession.createDataFrame(rows, schemas.CLUSTER_METRICS)
     return metrics, models
 
@@ -227,39 +249,24 @@ def best_cluster_count(metrics: DataFrame) -> int:
     return int(table.loc[ranks.idxmin(), "k"])
 
 
-def top_keywords(
-    clustered: DataFrame, vocabulary: Sequence[str], n: int = K.TOP_KEYWORDS
-) -> DataFrame:
-    """Terms with the largest mean TF-IDF weight per cluster, best first."""
-    terms = clustered.sparkSession.createDataFrame(
-        list(enumerate(vocabulary)), "position int, term string"
-    )
-    weights = (
-        clustered.groupBy("cluster_id")
-        .agg(vector_to_array(Summarizer.mean(F.col("tfidf"))).alias("weights"))
-        .select("cluster_id", F.posexplode("weights").alias("position", "weight"))
-    )
-    best = top_k_per_group(weights, ["cluster_id"], ["-weight", "position"], n, "_rank")
-    named = best.join(terms, "position")
-    return ranked_values(named, ["cluster_id"], "term", "_rank", "top_keywords")
-
-
 def cluster_topics(
-    clustered: DataFrame, vocabulary: Sequence[str], n_values: int = K.TOP_VALUES
+    clustered: DataFrame, weights: DataFrame, n_values: int = K.TOP_VALUES, n_terms: int = K.TOP_KEYWORDS
 ) -> DataFrame:
-    """Keywords, most frequent vendors and weaknesses, size and flagged count per cluster."""
+    """Keywords, most frequent vendors and weaknesses, size and flagged count of every cluster.
+
+    One row per cluster in ``clustered``; a list that a cluster has nothing for is empty.
+    """
     sizes = clustered.groupBy("cluster_id").agg(
         F.count(F.lit(1)).alias("size"), F.sum(F.col("is_kev").cast("long")).alias("kev_count")
     )
-    vendors = top_values(clustered, "cluster_id", "cpe_vendors", n_values, "top_vendors")
-    weaknesses = top_values(clustered, "cluster_id", "cwes", n_values, "top_cwes")
-    return (
-        top_keywords(clustered, vocabulary)
-        .join(vendors, "cluster_id", "left")
-        .join(weaknesses, "cluster_id", "left")
-        .join(sizes, "cluster_id", "left")
-        .select("cluster_id", "top_keywords", "top_vendors", "top_cwes", "size", "kev_count")
-    )
+    lists = {
+        "top_keywords": terms.top_terms(weights, clustered, n_terms),
+        "top_vendors": top_values(clustered, "cluster_id", "cpe_vendors", n_values, "top_vendors"),
+        "top_cwes": top_values(clustered, "cluster_id", "cwes", n_values, "top_cwes"),
+    }
+    topics = reduce(lambda left, right: left.join(right, "cluster_id", "left"), lists.values(), sizes)
+    none = F.array().cast("array<string>")
+    return topics.select("cluster_id", *[F.coalesce(name, none).alias(name) for name in lists], "size", "kev_count")
 
 
 def run_clustering(
@@ -267,19 +274,24 @@ def run_clustering(
     counts: Sequence[int] = K.CLUSTER_COUNTS,
     settings: FeatureSettings = FeatureSettings(),
 ) -> Clustering:
-    features, vocabulary = build_features(prepare_text(scored), settings)
-    metrics, models = try_cluster_counts(features, counts)
+    prepared = prepare_text(scored)
+    features, weights = build_features(prepared, settings)
+    # principal components are few and dense; all other features are long and mostly zero
+    entries = None
+    if settings.pca_components is None:
+        entries = stage_table(feature_entries(prepared, weights, settings), "feature-entries")
+    metrics, models = try_cluster_counts(features, counts, entries=entries)
     best = models[best_cluster_count(metrics)]
     clustered = stage_table(
         best.transform(features)
         .withColumnRenamed("prediction", "cluster_id")
-        .select(KEY, "cluster_id", "tfidf", "cwes", "cpe_vendors", "is_kev"),
+        .select(KEY, "cluster_id", "cwes", "cpe_vendors", "is_kev"),
         "clustered",
     )
     return Clustering(
         assignments=clustered.select(KEY, "cluster_id"),
         metrics=metrics,
-        topics=cluster_topics(clustered, vocabulary),
+        topics=cluster_topics(clustered, weights),
     )
 
 

@@ -287,11 +287,72 @@ documents_words AS ({_WORDS}),
 counts AS (
   SELECT cve_id, term, count(*) AS n
   FROM (SELECT cve_id, unnest(words) AS term FROM documents_words) GROUP BY ALL),
-often AS (SELECT term, count(*) AS df FROM counts GROUP BY term HAVING count(*) >= {K.MIN_DOCUMENTS}),
-weights AS (
-  SELECT cve_id, term, n,
-         n * ln(((SELECT count(*) FROM documents_words) + 1e0) / (df + 1e0)) AS weight
-  FROM counts JOIN often USING (term))"""
+often AS (
+  SELECT term, ln(((SELECT count(*) FROM documents_words) + 1e0) / (count(*) + 1e0)) AS idf FROM counts GROUP BY term),
+weights AS (SELECT cve_id, term, n, idf, n * idf AS weight FROM counts JOIN often USING (term))"""
+
+
+def _best_terms(groups: str) -> str:
+    """The ten best terms of each group in ``groups`` (cve_id, cluster_id)."""
+    return f"""sums AS (
+  SELECT cluster_id, term, sum(n) * min(idf) AS total FROM weights JOIN {groups} USING (cve_id) GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY total DESC, term) AS nth FROM sums),
+keywords AS (
+  SELECT cluster_id, string_agg(term, ',' ORDER BY nth) AS top_keywords FROM ranked WHERE nth <= 10 GROUP BY cluster_id)"""
+
+
+def _best_values(name: str, values: str) -> str:
+    """The five most frequent values of each group, from rows (cluster_id, value)."""
+    return f"""{name}_ranked AS (
+  SELECT cluster_id, value, row_number() OVER (PARTITION BY cluster_id ORDER BY count(*) DESC, value) AS nth
+  FROM ({values}) GROUP BY cluster_id, value),
+{name} AS (
+  SELECT cluster_id, string_agg(value, ',' ORDER BY nth) AS {name} FROM {name}_ranked WHERE nth <= 5 GROUP BY cluster_id)"""
+
+
+#: Rows (point, own, i, x) must stand in ``parts``; leaves distances of points to all groups in ``means``.
+_TO_GROUPS = """norms AS (SELECT point, own, sum(x * x) AS norm FROM parts GROUP BY ALL),
+sums AS (SELECT own AS other, i, sum(x) AS s FROM parts GROUP BY ALL),
+sizes AS (SELECT own AS other, count(*) AS n, sum(norm) AS squares FROM norms GROUP BY ALL),
+products AS (SELECT point, own, other, sum(x * s) AS dot FROM parts JOIN sums USING (i) GROUP BY ALL),
+met AS (
+  SELECT point, norms.own, sizes.other, n, norm, squares, coalesce(dot, 0e0) AS dot
+  FROM norms CROSS JOIN sizes LEFT JOIN products USING (point, other))"""
+_TO_GROUPS += """,
+lengths AS (SELECT other, sum(s * s) / (n * n) AS len FROM sums JOIN sizes USING (other) GROUP BY other, n)"""
+
+_DAVIES_BOULDIN = """spreads AS (
+  SELECT own, avg(sqrt(greatest(norm - 2 * dot / n + len, 0e0))) AS s FROM met JOIN lengths USING (other)
+  WHERE own = met.other GROUP BY own),
+gaps AS (
+  SELECT a.other AS p, b.other AS q, sum(a.s * b.s) / (min(u.n) * min(v.n)) AS cross_dot
+  FROM sums a JOIN sums b ON a.i = b.i AND a.other <> b.other
+  JOIN sizes u ON a.other = u.other JOIN sizes v ON b.other = v.other GROUP BY ALL),
+worst AS (
+  SELECT p, max((x.s + y.s) / sqrt(l.len + m.len - 2 * cross_dot)) AS w
+  FROM gaps JOIN spreads x ON p = x.own JOIN spreads y ON q = y.own
+  JOIN lengths l ON p = l.other JOIN lengths m ON q = m.other GROUP BY p)
+SELECT round(avg(w), 6) AS davies_bouldin FROM worst"""
+
+_VECTOR_PARTS = """parts AS (
+  SELECT vec_id AS point, label AS own, unnest(range(1, len(embedding) + 1)) AS i, unnest(embedding)::DOUBLE AS x
+  FROM embeddings)"""
+
+
+def _lloyd(rounds: int) -> str:
+    steps = []
+    for n in range(rounds):
+        steps.append(f"""chosen{n} AS (
+  SELECT vec_id, arg_min(c, (d, c)) AS cluster_id
+  FROM (SELECT vec_id, c, sum((x - v) * (x - v)) AS d FROM parts JOIN centres{n} USING (i) GROUP BY ALL) GROUP BY vec_id),
+centres{n + 1} AS (
+  SELECT cluster_id AS c, i, round(avg(x), 9) AS v FROM parts JOIN chosen{n} USING (vec_id) GROUP BY ALL
+  UNION ALL SELECT c, i, v FROM centres{n} WHERE c NOT IN (SELECT cluster_id FROM chosen{n}))""")
+    return f"""WITH parts AS (
+  SELECT vec_id, unnest(range(1, len(embedding) + 1)) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings),
+first AS (SELECT vec_id, CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INTEGER) AS c FROM embeddings ORDER BY vec_id LIMIT 4),
+centres0 AS (SELECT c, i, x AS v FROM parts JOIN first USING (vec_id)), {", ".join(steps)}
+SELECT vec_id, cluster_id FROM chosen{rounds - 1}"""
 
 _FALLBACK = """
 SELECT cve_id,
@@ -525,19 +586,34 @@ SELECT cve_id, last_modified, description, published_year FROM base WHERE publis
     "tfidf_weights": f"""WITH {_TERMS}
 SELECT cve_id, term, n, round(weight, 6) AS weight FROM weights""",
     "top_terms_given": f"""WITH {_TERMS},
-means AS (
-  SELECT CAST(cve_id AS BIGINT) % 5 AS cluster_id, term, sum(weight) AS total FROM weights GROUP BY 1, 2),
-ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY total DESC, term) AS nth FROM means)
-SELECT cluster_id, string_agg(term, ',' ORDER BY nth) AS top_keywords
-FROM ranked WHERE nth <= 10 GROUP BY cluster_id""",
-    "category_values": f"""WITH {MASTER},
-found AS (
-  SELECT DISTINCT cve_id, 'cwes' AS kind, unnest(string_split(cwes, ',')) AS value FROM master
-  WHERE coalesce(cwes, '') <> ''
-  UNION SELECT cve_id, 'cpe_vendors', cpe_vendors FROM master WHERE cpe_vendors IS NOT NULL),
-often AS (SELECT kind, value FROM found GROUP BY ALL HAVING count(*) >= 5)
-SELECT * FROM found SEMI JOIN often USING (kind, value)""",
+given AS (SELECT cve_id, CAST(cve_id AS BIGINT) % 5 AS cluster_id FROM documents_words),
+{_best_terms("given")}
+SELECT * FROM keywords""",
+    "topics_given": f"""WITH {MASTER}, {_TERMS},
+given AS (
+  SELECT cve_id, CASE WHEN CAST(cve_id AS BIGINT) % 20 = 0 THEN 5 ELSE CAST(cve_id AS BIGINT) % 5 END AS cluster_id,
+         cwes, cpe_vendors, is_kev
+  FROM master WHERE description IS NOT NULL),
+{_best_terms("given")},
+{_best_values("top_vendors", "SELECT cluster_id, cpe_vendors AS value FROM given WHERE cpe_vendors IS NOT NULL")},
+{_best_values("top_cwes", "SELECT cluster_id, unnest(string_split(cwes, ',')) AS value FROM given WHERE coalesce(cwes, '') <> ''")}
+SELECT cluster_id, coalesce(top_keywords, '') AS top_keywords, coalesce(top_vendors, '') AS top_vendors,
+       coalesce(top_cwes, '') AS top_cwes, size, kev_count
+FROM (SELECT cluster_id, count(*) AS size, CAST(sum(is_kev) AS BIGINT) AS kev_count FROM given GROUP BY cluster_id)
+LEFT JOIN keywords USING (cluster_id) LEFT JOIN top_vendors USING (cluster_id) LEFT JOIN top_cwes USING (cluster_id)""",
+    "category_values": f"""WITH {MASTER}
+SELECT DISTINCT cve_id, 'cwes' AS kind, unnest(string_split(cwes, ',')) AS value FROM master WHERE coalesce(cwes, '') <> ''
+UNION SELECT cve_id, 'cpe_vendors', cpe_vendors FROM master WHERE cpe_vendors IS NOT NULL""",
+    "davies_bouldin_terms": f"""WITH {_TERMS},
+parts AS (SELECT cve_id AS point, CAST(cve_id AS BIGINT) % 5 AS own, term AS i, weight AS x FROM weights),
+{_TO_GROUPS}, {_DAVIES_BOULDIN}""",
+    "silhouette_given": f"""WITH {_VECTOR_PARTS}, {_TO_GROUPS},
+means AS (SELECT *, norm + squares / n - 2 * dot / n AS d FROM met),
+pairs AS (
+  SELECT point, max(CASE WHEN own = other AND n > 1 THEN d * n / (n - 1) END) AS a, min(CASE WHEN own <> other THEN d END) AS b
+  FROM means GROUP BY point)
+SELECT round(avg(CASE WHEN a IS NULL OR greatest(a, b) <= 0 THEN 0e0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM pairs""",
+    "lloyd_given": _lloyd(3),
     "numeric_features": f"""WITH {MASTER}
 SELECT cve_id, coalesce(cvss_score, 0e0) / 10e0 AS cvss_scaled, epss_percentile, is_kev FROM master""",
     "davies_bouldin_given": """WITH parts AS (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from riskspark import constants as K
 from riskspark.functions import scores
@@ -15,11 +15,13 @@ from riskspark.operators import (
     clustering,
     kpis,
     master,
+    measures,
     projection,
     quality,
     scoring,
     selection,
     silver,
+    terms,
     upsert,
 )
 from riskspark.operators.dedupe import latest_per_key
@@ -669,57 +671,45 @@ def document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _prepared(spark, sf_dir).select("cve_id", F.array_join(kept, " ").alias("words"))
 
 
-def _term_vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
-    from pyspark.ml import Pipeline
-
+def _worded(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = words(F.col("clean_text"), K.DOMAIN_STOP_WORDS, K.MIN_TOKEN_LENGTH)
-    worded = stage_table(_prepared(spark, sf_dir).withColumn("words", kept), "words")
-    settings = clustering.FeatureSettings(min_documents=K.MIN_DOCUMENTS)
-    model = Pipeline(stages=clustering.text_stages(settings)).fit(worded)
-    return stage_table(model.transform(worded), "terms"), model.stages[0].vocabulary
+    return stage_table(_prepared(spark, sf_dir).withColumn("words", kept), "words")
 
 
-def tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Count and weight of every term in every document, of terms that 20 documents or more have."""
-    from pyspark.ml.functions import vector_to_array
+def _term_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage_table(terms.term_weights(_worded(spark, sf_dir)), "term-weights")
 
-    vectors, vocabulary = _term_vectors(spark, sf_dir)
-    terms = spark.createDataFrame(list(enumerate(vocabulary)), "position int, term string")
-    pairs = F.arrays_zip(
-        vector_to_array("term_counts").alias("n"), vector_to_array("tfidf").alias("weight")
-    )
-    rows = vectors.select("cve_id", F.posexplode(pairs).alias("position", "pair")).where("pair.n > 0")
-    return rows.join(terms, "position").select(
-        "cve_id", "term", F.col("pair.n").cast("long").alias("n"), F.round("pair.weight", 6).alias("weight")
+
+def tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count and weight of every term in every document."""
+    return terms.term_weights(_worded(spark, sf_dir)).select(
+        "cve_id", "term", "n", F.round("weight", 6).alias("weight")
     )
 
 
 def top_terms_given(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Terms of largest mean weight for given groups of documents."""
-    vectors, vocabulary = _term_vectors(spark, sf_dir)
-    number = F.col("cve_id").cast("long") % 5
-    best = clustering.top_keywords(vectors.withColumn("cluster_id", number), vocabulary)
-    return _joined(best, "top_keywords", in_order=True)
-
+    weights = _term_weights(spark, sf_dir)
+    given = _prepared(spark, sf_dir).select("cve_id", (F.col("cve_id").cast("long") % 5).alias("cluster_id"))
+    return _joined(terms.top_terms(weights, given, K.TOP_KEYWORDS), "top_keywords", in_order=True)
 
-def category_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The categories of every document that at least five documents have, each once."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.functions import vector_to_array
 
+def topics_given(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics of given groups, of which one has neither vendors nor weaknesses."""
+    number = F.col("cve_id").cast("long")
     prepared = stage_table(_prepared(spark, sf_dir), "prepared")
-    settings = clustering.FeatureSettings(category_min_documents=K.CATEGORY_MIN_DOCUMENTS)
-    model = Pipeline(stages=clustering.category_stages(settings)).fit(prepared)
-    found = []
-    for stage in model.stages:
-        names = spark.createDataFrame(list(enumerate(stage.vocabulary)), "position int, value string")
-        column = stage.getInputCol()
-        rows = model.transform(prepared).select(
-            "cve_id", F.posexplode(vector_to_array(f"{column}_vector")).alias("position", "present")
-        )
-        found.append(
-            rows.where("present > 0").join(names, "position").select("cve_id", F.lit(column).alias("kind"), "value")
-        )
+    given = prepared.withColumn("cluster_id", F.when(number % 20 == 0, 5).otherwise(number % 5))
+    topics = clustering.cluster_topics(given, _term_weights(spark, sf_dir))
+    return _joined(topics, "top_keywords", "top_vendors", "top_cwes", in_order=True)
+
+
+def category_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The categories of every document, each once."""
+    prepared = _prepared(spark, sf_dir)
+    found = [
+        terms.category_rows(prepared, column).select("cve_id", F.lit(column).alias("kind"), "value")
+        for column in ("cwes", "cpe_vendors")
+    ]
     return reduce(DataFrame.unionByName, found)
 
 
@@ -727,12 +717,52 @@ def numeric_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _prepared(spark, sf_dir).select("cve_id", "cvss_scaled", "epss_percentile", "is_kev")
 
 
+def _vector_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = views.table(spark, sf_dir, "embeddings")
+    return stage_table(
+        vectors.select(F.col("vec_id").alias("cve_id"), F.posexplode("embedding").alias("dim", "value"))
+        .withColumn("value", F.col("value").cast("double"))
+        .where("value <> 0"),
+        "vector-entries",
+    )
+
+
+def _vector_moments(spark: SparkSession, sf_dir: str) -> measures.Moments:
+    given = views.table(spark, sf_dir, "embeddings").selectExpr("vec_id AS cve_id", "label AS cluster_id")
+    return measures.moments(_vector_entries(spark, sf_dir), given)
+
+
+def _measured(spark: SparkSession, name: str, value: float | None) -> DataFrame:
+    return spark.createDataFrame([(value,)], f"{name} double").select(F.round(name, 6).alias(name))
+
+
 def davies_bouldin_given(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The measure of a given grouping of vectors."""
-    vectors = _vectors(spark, sf_dir).withColumn("prediction", F.col("label"))
-    return spark.createDataFrame([(clustering.davies_bouldin(vectors),)], "davies_bouldin double").select(
-        F.round("davies_bouldin", 6).alias("davies_bouldin")
-    )
+    return _measured(spark, "davies_bouldin", measures.davies_bouldin(_vector_moments(spark, sf_dir)))
+
+
+def davies_bouldin_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same measure over the term weights of given groups of documents, zeros never looked at."""
+    prepared = _prepared(spark, sf_dir)
+    given = prepared.select("cve_id", (F.col("cve_id").cast("long") % 5).alias("cluster_id"))
+    weights = _term_weights(spark, sf_dir).select("cve_id", F.col("term").alias("dim"), F.col("weight").alias("value"))
+    return _measured(spark, "davies_bouldin", measures.davies_bouldin(measures.moments(weights, given)))
+
+
+def silhouette_given(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silhouette of a given grouping of vectors."""
+    return _measured(spark, "silhouette", measures.silhouette(_vector_moments(spark, sf_dir)))
+
+
+def lloyd_given(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three rounds of k-means over all vectors, from the first four as centres."""
+    entries = _vector_entries(spark, sf_dir)
+    vectors = views.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("cve_id"))
+    first = vectors.where("cve_id IS NOT NULL").orderBy("cve_id").limit(4)
+    numbered = first.select("cve_id", (F.row_number().over(Window.orderBy("cve_id")) - 1).alias("cluster_id"))
+    centres = entries.join(numbered, "cve_id").select("cluster_id", "dim", "value")
+    assigned, _ = measures.lloyd(entries, vectors, centres, 3)
+    return assigned.select(F.col("cve_id").alias("vec_id"), "cluster_id")
 
 
 def best_count_given(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -823,6 +853,10 @@ QUERIES = {
     "category_values": category_values,
     "numeric_features": numeric_features,
     "davies_bouldin_given": davies_bouldin_given,
+    "davies_bouldin_terms": davies_bouldin_terms,
+    "silhouette_given": silhouette_given,
+    "lloyd_given": lloyd_given,
+    "topics_given": topics_given,
     "best_count_given": best_count_given,
     "attach_given_clusters": attach_given_clusters,
     "scoring_nan": scoring_nan,

@@ -6,7 +6,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from riskspark.functions.text import clean_text
-from riskspark.operators import clustering
+from riskspark.operators import clustering, measures, terms
 
 SETTINGS = clustering.FeatureSettings(
     vocabulary_size=50, min_documents=2, category_size=5, category_min_documents=2, pca_components=6
@@ -99,12 +99,78 @@ def test_topics(run, scored):
 
 
 def test_keywords_are_the_largest_mean_weights(spark):
-    rows = [(0, [0.0, 2.0, 1.0]), (0, [0.0, 4.0, 3.0]), (1, [5.0, 0.0, 5.0])]
-    df = spark.createDataFrame(rows, "cluster_id int, w array<double>").select(
-        "cluster_id", array_to_vector("w").alias("tfidf")
-    )
-    got = {r.cluster_id: r.top_keywords for r in clustering.top_keywords(df, ["a", "b", "c"], 2).collect()}
-    assert got == {0: ["b", "c"], 1: ["a", "c"]}
+    rows = [(1, ["b", "b", "c"]), (2, ["b", "c", "c"]), (3, ["a", "c", "d"]), (4, []), (5, [])]
+    worded = spark.createDataFrame(rows, "cve_id int, words array<string>")
+    weights = terms.term_weights(worded)
+    by_term = {(r.cve_id, r.term): (r.n, r.weight) for r in weights.collect()}
+    assert by_term[1, "b"] == (2, pytest.approx(2 * math.log(6 / 3))) and len(by_term) == 7
+    given = spark.createDataFrame([(1, 0), (2, 0), (3, 1), (4, 2)], "cve_id int, cluster_id int")
+    got = {r.cluster_id: r.top_keywords for r in terms.top_terms(weights, given, 2).collect()}
+    assert got == {0: ["b", "c"], 1: ["a", "d"]}
+    assert {r.term for r in terms.term_weights(worded, 2).collect()} == {"b", "c"}
+    assert {r.term for r in terms.term_weights(worded, 1, 1).collect()} == {"c"}
+
+
+def test_weights_hold_no_vocabulary_in_one_place(spark, capsys):
+    worded = spark.createDataFrame([(1, ["b", "c"]), (2, ["b"])], "cve_id int, words array<string>")
+    terms.term_weights(worded).explain("formatted")
+    plan = capsys.readouterr().out
+    assert "vector" not in plan.lower() and "collect_" not in plan and "SinglePartition" not in plan.replace("Scalar", "")
+
+
+def test_topics_of_a_cluster_without_values(spark):
+    rows = [(1, 0, ["v"], ["c"], 1), (2, 1, [], [], 0)]
+    given = spark.createDataFrame(rows, "cve_id int, cluster_id int, cpe_vendors array<string>, cwes array<string>, is_kev int")
+    weights = terms.term_weights(spark.createDataFrame([(1, ["x"]), (2, [])], "cve_id int, words array<string>"))
+    got = {r.cluster_id: tuple(r)[1:] for r in clustering.cluster_topics(given, weights).collect()}
+    assert got == {0: (["x"], ["v"], ["c"], 1, 1), 1: ([], [], [], 1, 0)}
+
+
+def _entries(spark, points, labels):
+    long = [(i, d, float(v)) for i, p in enumerate(points) for d, v in enumerate(p) if v]
+    entries = spark.createDataFrame(long, "cve_id int, dim int, value double").repartition(5)
+    assigned = [(i, None if c is None else int(c)) for i, c in enumerate(labels)]
+    return entries, spark.createDataFrame(assigned, "cve_id int, cluster_id int")
+
+
+def test_sparse_measures_equal_the_dense_ones(spark):
+    from pyspark.ml.evaluation import ClusteringEvaluator
+
+    rng = np.random.default_rng(8)
+    points = rng.normal(size=(150, 6)) * (rng.random((150, 6)) < 0.4)
+    labels = rng.integers(0, 4, 150)
+    points[3] = 0
+    found = measures.moments(*_entries(spark, points, labels))
+    dense = _points(spark, points, map(int, labels))
+    assert measures.davies_bouldin(found) == pytest.approx(clustering.davies_bouldin(dense))
+    evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
+    assert measures.silhouette(found) == pytest.approx(evaluator.evaluate(dense))
+    centres = np.array([points[labels == c].mean(axis=0) for c in range(4)])
+    assert measures.cost(found) == pytest.approx(((points - centres[labels]) ** 2).sum())
+
+
+def test_measures_of_few_clusters(spark):
+    one = measures.moments(*_entries(spark, [[1, 0], [0, 1]], [0, 0]))
+    assert measures.silhouette(one) is None and measures.davies_bouldin(one) == math.inf
+    alone = measures.moments(*_entries(spark, [[1, 0], [0, 1], [0, 3], [9, 9]], [0, 1, 1, None]))
+    # the first is alone and counts zero; to its own cluster the others have 4, to the first 2 and 10
+    assert measures.silhouette(alone) == pytest.approx((0 + (2 - 4) / 4 + (10 - 4) / 10) / 3)
+
+
+def test_lloyd_equals_plain_rounds(spark):
+    rng = np.random.default_rng(9)
+    points = np.concatenate([rng.normal(c, 1, size=(40, 3)) for c in (0, 3, 6)])
+    entries, records = _entries(spark, points, [None] * 120)
+    start = [(c, d, float(v)) for c in range(4) for d, v in enumerate(points[c * 30])] + [(7, 0, 1e6)]
+    assigned, centres = measures.lloyd(entries, records, spark.createDataFrame(start, "cluster_id int, dim int, value double"), 4)
+    means = {c: points[c * 30] for c in range(4)} | {7: np.array([1e6, 0, 0])}
+    for _ in range(4):
+        own = [min(means, key=lambda c: (((p - means[c]) ** 2).sum(), c)) for p in points]
+        means = {c: points[[o == c for o in own]].mean(axis=0) if c in own else means[c] for c in means}
+    assert {r.cve_id: r.cluster_id for r in assigned.collect()} == dict(enumerate(own))
+    for r in centres.collect():
+        assert r.value == pytest.approx(means[r.cluster_id][r.dim], abs=1e-8)
+    assert centres.where("cluster_id = 7").count() == 1
 
 
 def _points(spark, points, labels):
@@ -150,10 +216,16 @@ def test_best_count(spark):
 
 def test_without_pca(scored):
     settings = clustering.FeatureSettings(50, 2, 5, 2, None)
-    features, vocabulary = clustering.build_features(clustering.prepare_text(scored), settings)
+    features, weights = clustering.build_features(clustering.prepare_text(scored), settings)
     width = features.select(F.size(vector_to_array("features")).alias("n")).first().n
     # three weaknesses, four vendors, three numbers
-    assert width == len(vocabulary) + 3 + 4 + 3
+    assert width == weights.select("term").distinct().count() + 3 + 4 + 3
+
+
+def test_the_whole_run_keeps_every_term_and_measures_sparsely(scored):
+    run = clustering.run_clustering(scored, (2, 3), clustering.FeatureSettings(buckets=256))
+    assert sum(r["size"] for r in run.topics.collect()) == 60
+    assert all(-1 <= r.silhouette <= 1 and r.cost >= 0 and r.davies_bouldin >= 0 for r in run.metrics.collect())
 
 
 def test_coinciding_centres_do_not_count(spark):
