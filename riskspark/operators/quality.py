@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import math
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskspark.sources.tables import DateLike, as_date
 
@@ -15,14 +17,57 @@ def _missing(values: str) -> Column:
     return F.col(values).isNull() | (F.size(values) == 0)
 
 
+def _next_bounds(inside: DataFrame, at: int, n: int) -> tuple[float, float]:
+    """Approximate values a little below and above place ``at`` of ``n``."""
+    shares = [max(at / n - 0.01, 0.0), min(at / n + 0.01, 1.0)]
+    return tuple(inside.agg(F.percentile_approx("v", shares, 10_000)).first()[0])
+
+
+def order_statistic(df: DataFrame, column: str, share: float = 0.5, held: int = 100_000) -> float | None:
+    """The smallest value that at least ``share`` of all values do not exceed; exact, none of no values.
+
+    The range that holds it is narrowed by approximate bounds, each put right by an exact count of
+    what lies below, until it has at most ``held`` different values; only these are counted and put
+    in order. Nulls and not-a-number are no values. Where approximate bounds do not narrow the
+    range, its halves do. Every step is an aggregation over ``df``, so let it be a written table.
+    """
+    values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    n, low, high = values.agg(F.count("v"), F.min("v"), F.max("v")).first()
+    if not n:
+        return None
+    place = max(1, math.ceil(share * n))
+    at, approximate = place, True
+    while True:
+        inside = values.where(F.col("v").between(low, high))
+        if low == high:
+            return low
+        # a bounded prefix of the different values tells whether they are few
+        few = inside.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+        if few.limit(held + 1).count() <= held:
+            upto = F.sum("n").over(Window.orderBy("v"))
+            return few.withColumn("upto", upto).where(F.col("upto") >= at).agg(F.min("v")).first()[0]
+        lower, upper = _next_bounds(inside, at, n) if approximate else (low, low + (high - low) / 2)
+        below, within = inside.agg(F.count_if(F.col("v") < lower), F.count_if(F.col("v").between(lower, upper))).first()
+        if at <= below:
+            found = inside.where(F.col("v") < lower)
+        elif at <= below + within:
+            found, at = inside.where(F.col("v").between(lower, upper)), at - below
+        else:
+            found, at = inside.where(F.col("v") > upper), at - below - within
+        count, next_low, next_high = found.agg(F.count("v"), F.min("v"), F.max("v")).first()
+        approximate = count < n
+        n, low, high = count, next_low, next_high
+
+
 def summary(df: DataFrame, snapshot_date: DateLike) -> DataFrame:
     """The whole profile in one row.
 
     ``pct_null_epss`` counts zero probabilities, the filled form of "no probability known".
-    One aggregation that combines on the map side; the median is exact and counts equal values, so
-    it holds as many numbers as there are different probabilities. Distinct keys shuffle the key
-    column and are a subquery over it: ``df`` is read twice, so let it be a written table.
+    One aggregation that combines on the map side, and a few narrow ones for the exact median, which
+    never hold more than a bounded number of values. Distinct keys shuffle the key column and are a
+    subquery over it: ``df`` is read several times, so let it be a written table.
     """
+    median = order_statistic(df, "epss_score")
     distinct_keys = df.agg(F.count_distinct("cve_id").alias("n")).scalar()
     flagged = F.col("is_kev") == 1
     scored = F.col("epss_score") > 0.0
@@ -39,7 +84,7 @@ def summary(df: DataFrame, snapshot_date: DateLike) -> DataFrame:
         F.count_if(flagged).alias("nvd_kev_intersection"),
         F.count_if(scored).alias("nvd_epss_intersection"),
         F.count_if(flagged & scored).alias("nvd_kev_epss_intersection"),
-        F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY epss_score)").alias("median_epss"),
+        F.lit(median).cast("double").alias("median_epss"),
     )
     first = ["row_count"]
     last = profile.columns[profile.columns.index("kev_count") : -1]

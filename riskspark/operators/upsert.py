@@ -11,14 +11,10 @@ from riskspark import constants as K
 from riskspark.operators.dedupe import latest_per_key
 from riskspark.operators.silver import within_window
 from riskspark.sources.sinks import overwrite_partitions, write_snapshot
-from riskspark.sources.tables import DateLike, read_table, table_exists
+from riskspark.sources.tables import DEFAULT_PARTITION, DateLike, read_table, table_exists
 from riskspark.sources.workdir import stage_table
 
 
-#: Fixed value: the folder name of the partition without a value.
-DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-
-
 @dataclass(frozen=True)
 class UpsertStats:
     modified_rows: int = 0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -92,10 +93,13 @@ def build_gold(
     tables: Layout,
     date: DateLike,
     options: RunOptions = RunOptions(),
+    groups: Callable[[DataFrame], DataFrame] | None = None,
 ) -> dict[str, int]:
     """Every result table of one snapshot; returns the rows written per table.
 
-    Each step reads the snapshot that the step before has written.
+    Each step reads the snapshot that the step before has written. ``groups`` gives the clusters
+    (``cve_id``, ``cluster_id``) of the scored records where they are known already; then none are
+    sought, and there are no measures and topics of them.
     """
     written = {}
 
@@ -122,10 +126,14 @@ def build_gold(
     publish("vulnerability_scores", scoring.score_base(records, date))
     scored = snapshot("vulnerability_scores")
 
-    run = clustering.run_clustering(scored, options.cluster_counts, options.features)
-    publish("clustering_metrics", run.metrics, small=True)
-    publish("cluster_topics", run.topics, small=True)
-    publish("vulnerabilities_clustered", clustering.attach_clusters(scored, run.assignments))
+    if groups is None:
+        run = clustering.run_clustering(scored, options.cluster_counts, options.features)
+        publish("clustering_metrics", run.metrics, small=True)
+        publish("cluster_topics", run.topics, small=True)
+        assignments = run.assignments
+    else:
+        assignments = groups(scored)
+    publish("vulnerabilities_clustered", clustering.attach_clusters(scored, assignments))
 
     publish(
         "vulnerability_scores_final", scoring.score_final(snapshot("vulnerabilities_clustered"))

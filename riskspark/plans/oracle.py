@@ -614,6 +614,33 @@ pairs AS (
   FROM means GROUP BY point)
 SELECT round(avg(CASE WHEN a IS NULL OR greatest(a, b) <= 0 THEN 0e0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM pairs""",
     "lloyd_given": _lloyd(3),
+    "read_merged_snapshots": """
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS line, CAST(l_quantity AS DOUBLE) AS quantity,
+       CASE WHEN l_linenumber <= 2 THEN l_returnflag END AS flag, CASE WHEN l_linenumber > 3 THEN 'new' END AS extra,
+       CASE WHEN l_linenumber <= 2 THEN DATE '2024-01-01' WHEN l_linenumber = 3 THEN DATE '2024-01-02' ELSE DATE '2024-01-03' END AS snapshot_date
+FROM lineitem""",
+    "daily_scores_final": f"""WITH {MASTER},
+changed AS (
+  SELECT * REPLACE (
+    CASE WHEN CAST(cve_id AS BIGINT) % 10 = 3 THEN 9.5e0 ELSE cvss_score END AS cvss_score,
+    CASE WHEN CAST(cve_id AS BIGINT) % 20 = 3 THEN published + 366 ELSE published END AS published)
+  FROM master),
+weighted AS (
+  SELECT *, CASE WHEN cve_id NOT LIKE '%3' THEN CAST(CAST(cve_id AS BIGINT) % 7 AS INTEGER) END AS cluster_id,
+         round(0.4e0 * (coalesce(cvss_score, 0e0) / 10e0) + 0.4e0 * epss_percentile + 0.2e0 * is_kev, 4) AS plain
+  FROM changed),
+scored AS (
+  SELECT *, CASE WHEN is_kev = 1 THEN greatest(plain, 0.9e0) ELSE plain END AS priority_score FROM weighted),
+stats AS (
+  SELECT cluster_id, count(*) AS cluster_size, avg(is_kev) AS density, max(epss_score) AS top_epss
+  FROM scored WHERE cluster_id IS NOT NULL GROUP BY cluster_id),
+boosted AS (
+  SELECT scored.*, cluster_size,
+         least(1.5e0, greatest(0e0, priority_score * (1e0 + 0.5e0 * coalesce(density, 0e0)) + 0.1e0 * coalesce(top_epss, 0e0))) AS boosted_score
+  FROM scored LEFT JOIN stats USING (cluster_id))
+SELECT cve_id, CAST(published AS DATE) AS published, epss_score, is_kev, cluster_id, cluster_size, priority_score, {LEVEL.format("priority_score")} AS priority_level,
+       round(boosted_score, 6) AS priority_score_final, {LEVEL.format("boosted_score")} AS priority_level_final
+FROM boosted""",
     "numeric_features": f"""WITH {MASTER}
 SELECT cve_id, coalesce(cvss_score, 0e0) / 10e0 AS cvss_scaled, epss_percentile, is_kev FROM master""",
     "davies_bouldin_given": """WITH parts AS (

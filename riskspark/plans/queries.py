@@ -26,13 +26,14 @@ from riskspark.operators import (
 )
 from riskspark.operators.dedupe import latest_per_key
 from riskspark.operators.ranking import top_values
-from riskspark.plans import serving, views
+from riskspark.plans import daily, serving, views
 from riskspark.plans.views import DOC_DATE, LINE_DATE
 from riskspark.sources import feeds, sinks
 from riskspark.sources.tables import (
     at_snapshot,
     available_snapshots,
     find_snapshot,
+    read_merged_snapshots as merged_snapshots,
     read_snapshot,
     read_table,
     snapshot_as_of,
@@ -583,6 +584,46 @@ def read_one_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_snapshot(spark, path, found).select("cve_id", "cvss_score", "snapshot_date")
 
 
+def read_merged_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three snapshots whose columns were added, dropped and widened, read as one table."""
+    path = scratch_path(spark, "merged")
+    lines = views.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.col("l_linenumber").cast("int").alias("line"), F.col("l_quantity").alias("quantity"), F.col("l_returnflag").alias("flag")
+    )
+    quantity = F.col("quantity").cast("float").alias("quantity")
+    sinks.write_snapshot(lines.where("line <= 2").select("l_orderkey", "line", quantity, "flag"), path, "2024-01-01")
+    sinks.write_snapshot(lines.where("line = 3").select("l_orderkey", "line", quantity), path, "2024-01-02")
+    wide = F.col("line").cast("long").alias("line")
+    sinks.write_snapshot(lines.where("line > 3").select("l_orderkey", wide, F.col("quantity").cast("double").alias("quantity"), F.lit("new").alias("extra")), path, "2024-01-03")
+    return merged_snapshots(spark, path)
+
+
+def daily_scores_final(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole daily chain: three feeds, a second day's changes, master, scores, given groups, final scores.
+
+    The second day is run twice over the same tables, as a broken-off run is repeated.
+    """
+    tables = daily.Layout(scratch_path(spark, "lake"))
+    daily.load_catalogue(spark, views.doc_feed(spark, sf_dir), tables, "2024-01-14")
+    daily.load_exploited(views.doc_exploited_raw(spark, sf_dir), tables)
+
+    def groups(scored: DataFrame) -> DataFrame:
+        given = scored.where("cve_id NOT LIKE '%3'")
+        return given.select("cve_id", (F.col("cve_id").cast("long") % 7).cast("int").alias("cluster_id"))
+
+    for _ in range(2):
+        daily.load_catalogue(spark, views.doc_feed_changes(spark, sf_dir), tables, DOC_DATE)
+        # the last of these days is later than the snapshot and must not be used
+        for day in ("2024-01-14", DOC_DATE, "2024-01-16"):
+            daily.load_probabilities(views.probability_raw(spark, sf_dir, day), tables, day)
+        daily.build_gold(spark, tables, DOC_DATE, groups=groups)
+    final = read_snapshot(spark, tables.gold("vulnerability_scores_final"), DOC_DATE).select(
+        "cve_id", "published", "epss_score", "is_kev", "cluster_id", "cluster_size", "priority_score", "priority_level",
+        "priority_score_final", "priority_level_final",
+    )
+    return _rounded(final.withColumn("published", F.to_date("published")), "priority_score_final")
+
+
 def available_snapshot_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return available_snapshots(read_table(spark, _written_snapshots(spark, sf_dir)))
 
@@ -839,6 +880,8 @@ QUERIES = {
     "score_share_of_max": score_share_of_max,
     "write_snapshot": write_snapshot,
     "read_one_snapshot": read_one_snapshot,
+    "read_merged_snapshots": read_merged_snapshots,
+    "daily_scores_final": daily_scores_final,
     "available_snapshots": available_snapshot_dates,
     "settings_resolution": settings_resolution,
     "csv_export": csv_export,

@@ -107,6 +107,52 @@ def doc_exploited(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def doc_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as the first day's catalogue rows."""
+    return doc_catalogue(spark, sf_dir).withColumns(
+        {"last_modified": F.col("published").cast("timestamp"), "published_year": F.year("published")}
+    )
+
+
+def doc_feed_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second day: every tenth document has another severity, every twentieth another year too."""
+    number = F.col("cve_id").cast("long")
+    moved = F.when(number % 20 == 3, F.date_add("published", 366)).otherwise(F.col("published"))
+    changed = doc_feed(spark, sf_dir).where(number % 10 == 3).withColumn("published", moved)
+    return changed.withColumns(
+        {
+            "cvss_score": F.lit(9.5),
+            "cvss_severity": F.lit("CRITICAL"),
+            "published_year": F.year("published"),
+            "last_modified": F.lit("2024-01-15").cast("timestamp"),
+        }
+    )
+
+
+def doc_exploited_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exploited list with the columns and texts of its feed."""
+    return doc_exploited(spark, sf_dir).select(
+        F.col("cve_id").alias("cveID"),
+        F.col("vendor_project").alias("vendorProject"),
+        "product",
+        F.col("vulnerability_name").alias("vulnerabilityName"),
+        F.date_format("kev_date_added", "yyyy-MM-dd").alias("dateAdded"),
+        F.col("short_description").alias("shortDescription"),
+        F.col("required_action").alias("requiredAction"),
+        F.col("known_ransomware_campaign_use").alias("knownRansomwareCampaignUse"),
+    )
+
+
+def probability_raw(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
+    """One day of the probability feed, all texts."""
+    known = probability_history(spark, sf_dir).where(F.col("score_date") == F.lit(day).cast("date"))
+    return known.select(
+        F.col("cve_id").alias("cve"),
+        F.col("epss_score").cast("string").alias("epss"),
+        F.col("epss_percentile").cast("string").alias("percentile"),
+    )
+
+
 def order_feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested feed document per order, as JSON text lines."""
     key, customer = F.col("o_orderkey"), F.col("o_custkey")

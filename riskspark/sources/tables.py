@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 DateLike = str | dt.date
 
+#: Fixed value: the folder name of the partition without a value.
+DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 
 def read_table(
     spark: SparkSession, path: str, fmt: str = "parquet", merge_schema: bool = False
@@ -54,6 +59,54 @@ def read_snapshot(
     return reader.parquet(folder)
 
 
+#: Number types from narrow to wide; a column takes the widest that one of its snapshots has.
+_WIDTHS = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def _wider(name: str, one: str, other: str) -> str:
+    if one == other:
+        return one
+    if one in _WIDTHS and other in _WIDTHS:
+        wider = max(one, other, key=_WIDTHS.index)
+        # a float does not hold all integers of 32 or 64 bits
+        return "double" if wider == "float" and {one, other} & {"int", "bigint"} else wider
+    raise ValueError(f"column {name} is {one} in one snapshot and {other} in another")
+
+
+def read_merged_snapshots(spark: SparkSession, path: str, column: str = "snapshot_date") -> DataFrame:
+    """All snapshots of a table whose columns were added, dropped or widened over time.
+
+    Columns are united by name and are null where a snapshot lacks them; numbers take the widest type
+    that occurs, and a change between other types is an error. Snapshots of one schema are one scan,
+    so the plan grows with the number of schemas and not with that of snapshots.
+    """
+    dates = [row[0] for row in read_table(spark, path).select(column).distinct().orderBy(column).collect()]
+    folders: dict[StructType, list[str]] = {}
+    for date in dates:
+        folder = f"{path}/{column}={date if date is not None else DEFAULT_PARTITION}"
+        folders.setdefault(spark.read.parquet(folder).schema, []).append(folder)
+    kinds: dict[str, str] = {}
+    for schema in folders:
+        for field in schema:
+            kind = field.dataType.simpleString()
+            kinds[field.name] = _wider(field.name, kinds.get(field.name, kind), kind)
+    parts = []
+    for schema, places in folders.items():
+        rows = spark.read.option("basePath", path).schema(schema).parquet(*places)
+        parts.append(
+            rows.select(
+                *[
+                    (F.col(f"`{name}`") if name in schema.fieldNames() else F.lit(None)).cast(kind).alias(name)
+                    for name, kind in kinds.items()
+                ],
+                F.col(column).cast("date").alias(column),
+            )
+        )
+    if not parts:
+        return read_table(spark, path)
+    return reduce(DataFrame.union, parts)
+
+
 def available_snapshots(df: DataFrame, column: str = "snapshot_date") -> DataFrame:
     """Every snapshot, newest first. Reads no data column, only the partition values."""
     return df.select(column).distinct().orderBy(F.desc(column))

@@ -1,3 +1,4 @@
+import math
 import datetime as dt
 
 import pytest
@@ -133,3 +134,20 @@ def test_distributions(profiled, rows):
         (2023, 1),
         (2024, 1),
     ]
+
+
+def test_order_statistic_over_a_million_values_in_bounded_memory(spark):
+    df = spark.range(1_000_003).selectExpr("CASE WHEN id % 7 = 0 THEN NULL ELSE pmod(xxhash64(id), 1000000007) / 997D END AS x")
+    values = sorted(r.x for r in df.collect() if r.x is not None)
+    for share in (0.5, 0.001, 0.9):
+        assert quality.order_statistic(df, "x", share, held=2_000) == values[math.ceil(share * len(values)) - 1]
+
+
+def test_order_statistic_of_ties_and_nothing(spark):
+    def of(*values, **kwargs):
+        return quality.order_statistic(spark.createDataFrame([(v,) for v in values], "x double"), "x", **kwargs)
+
+    assert of() is None and of(None, float("nan")) is None
+    assert of(3.0) == 3.0 and of(1.0, 2.0) == 1.0 and of(1.0, 2.0, 3.0) == 2.0
+    hot = [0.0] * 900 + [i / 7 for i in range(100)] + [1e300, -1e300]
+    assert of(*hot, held=3) == 0.0 and of(*hot, held=3, share=0.95) == sorted(hot)[math.ceil(0.95 * 1002) - 1]

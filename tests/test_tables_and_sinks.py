@@ -153,3 +153,19 @@ def test_finding_a_snapshot(spark, tmp_path):
     assert tables.find_snapshot(spark, path, "2026-05-01") == DAY(2026, 5, 1)
     assert tables.find_snapshot(spark, path, "2026-05-02") == DAY(2026, 5, 3)
     assert tables.find_snapshot(spark, path) == DAY(2026, 5, 3)
+
+
+def test_merged_snapshots_widen_and_fill(spark, tmp_path):
+    path = str(tmp_path / "merged")
+    sinks.write_snapshot(spark.createDataFrame([(1, 0.5)], "a int, b float"), path, "2024-01-01")
+    sinks.write_snapshot(spark.createDataFrame([(2**40, "x")], "a long, c string"), path, "2024-01-02")
+    sinks.write_snapshot(spark.createDataFrame([(3, 0.25)], "a int, b float"), path, "2024-01-03")
+    merged = tables.read_merged_snapshots(spark, path)
+    assert dict(merged.dtypes) == {"a": "bigint", "b": "float", "c": "string", "snapshot_date": "date"}
+    got = {tuple(r)[:3] for r in merged.select("a", "b", "c").collect()}
+    assert got == {(1, 0.5, None), (2**40, None, "x"), (3, 0.25, None)}
+    # two schemas, two scans, however many snapshots
+    assert merged._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 2
+    sinks.write_snapshot(spark.createDataFrame([("no",)], "a string"), path, "2024-01-04")
+    with pytest.raises(ValueError, match="column a"):
+        tables.read_merged_snapshots(spark, path)
