@@ -44,9 +44,14 @@ def score_version() -> Column:
     )
 
 
+def _or_none(texts: Column) -> Column:
+    """An inner list that is missing holds nothing; ``flatten`` would make the whole list missing."""
+    return F.coalesce(texts, F.array().cast("array<string>"))
+
+
 def weakness_ids() -> Column:
     values = F.flatten(
-        F.transform("weaknesses", lambda w: F.transform(w["description"], lambda d: d["value"]))
+        F.transform("weaknesses", lambda w: _or_none(F.transform(w["description"], lambda d: d["value"])))
     )
     return F.filter(F.array_distinct(values), lambda v: v.startswith("CWE-"))
 
@@ -55,10 +60,10 @@ def platform_names() -> Column:
     """All platform names of a record, of every configuration, node and match."""
 
     def of_node(node: Column) -> Column:
-        return F.transform(node["cpeMatch"], lambda match: match["criteria"])
+        return _or_none(F.transform(node["cpeMatch"], lambda match: match["criteria"]))
 
     def of_configuration(configuration: Column) -> Column:
-        return F.flatten(F.transform(configuration["nodes"], of_node))
+        return _or_none(F.flatten(F.transform(configuration["nodes"], of_node)))
 
     return F.flatten(F.transform("configurations", of_configuration))
 

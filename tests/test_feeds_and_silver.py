@@ -172,3 +172,16 @@ def test_conform_adds_missing_columns(spark):
     df = silver.conform(spark.createDataFrame([("a", 2024)], "cve_id string, published_year long"))
     assert df.schema == schemas.CATALOGUE
     assert df.first().cwes is None
+
+
+def test_a_missing_inner_list_keeps_the_others(spark):
+    from riskspark.functions import nested
+
+    schema = (
+        "configurations array<struct<nodes: array<struct<cpeMatch: array<struct<criteria: string>>>>>>,"
+        " weaknesses array<struct<description: array<struct<value: string>>>>"
+    )
+    found = [([([("cpe:a",)],), (None,)],), (None,)]
+    df = spark.createDataFrame([(found, [([("CWE-1",)],), (None,)]), (None, None)], schema)
+    rows = df.select(nested.platform_names().alias("p"), nested.weakness_ids().alias("w")).collect()
+    assert [tuple(r) for r in rows] == [(["cpe:a"], ["CWE-1"]), (None, None)]
