@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import uuid
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Where the tables that stage_table returned lie.
+_paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
 
 def work_root(setting: Callable[..., str | None]) -> str:
     """The folder for intermediate tables, given a way to look settings up."""
@@ -43,4 +47,19 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _paths[table] = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``stage_table`` returned, when all that was made of them is written.
+
+    Frames that are no staged tables are left alone.
+    """
+    for table in tables:
+        path = _paths.pop(table, None)
+        if path is not None:
+            spark = table.sparkSession
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -31,3 +31,11 @@ def test_without_the_setting_the_warehouse_stands_in():
     assert workdir.work_root(lambda name, *default: settings.get(name, *default)) == "file:/shared/warehouse/_work"
     settings["spark.checkpoint.dir"] = "hdfs:///work/"
     assert workdir.work_root(lambda name, *default: settings.get(name, *default)) == "hdfs:///work"
+
+
+def test_discarded_tables_leave_the_shared_folder(spark):
+    kept, gone = (workdir.stage_table(spark.range(3).toDF("x"), "part") for _ in range(2))
+    (path,) = {name.rsplit("/", 1)[0].removeprefix("file://") for name in gone.inputFiles()}
+    workdir.discard(gone, spark.range(1), gone)
+    assert not Path(path).exists()
+    assert kept.count() == 3
