@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from riskspark.sources.workdir import stage_table
+from riskspark.sources.workdir import discard, stage_table
 
 
 def _minima(pairs: DataFrame) -> DataFrame:
@@ -29,6 +29,7 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
     )
     before = None
     while True:
+        last = current
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = (
             both.join(_minima(both), "u")
@@ -49,6 +50,7 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
         state = current.agg(
             F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.countDistinct("u")
         ).first()
+        discard(last)
         if state == before or state[0] == 0:
             break
         before = state
