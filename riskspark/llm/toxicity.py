@@ -114,8 +114,12 @@ def _scan(model: ToxicityModel, data: np.ndarray, offsets: np.ndarray):
 
 
 def _sample(docs: DataFrame, labels: DataFrame, sample_rows: int) -> DataFrame:
-    """Labelled texts; at most about ``sample_rows``, so the side of labels is small enough to send."""
-    usable = labels.where("doc_id is not null and toxic is not null").select("doc_id", "toxic")
+    """Labelled texts; labels of about ``sample_rows`` ids at most, so that side is small enough to send.
+
+    An id has one label, the highest that any of its rows gives: repeated ones neither multiply texts
+    nor make the side larger.
+    """
+    usable = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     share = 1_000_000 * sample_rows // max(1, usable.count())
     chosen = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share)
     return docs.where("text is not null").select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(

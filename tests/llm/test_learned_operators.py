@@ -175,6 +175,13 @@ def test_toxic_documents_are_told_apart(documents, spark, corpus):
     assert {r.doc_id for r in kept.select("doc_id").collect()} == {i for i, r in got.items() if not r.predicted}
 
 
+def test_an_id_has_one_label(documents, spark):
+    labels = spark.createDataFrame([(1, 0), (1, 1), (1, 0), (2, 0), (2, 0), (None, 1), (3, None)], "doc_id long, toxic int")
+    docs = documents([(1, "first"), (1, "again"), (2, "second"), (3, "third"), (None, "fourth")])
+    sample = toxicity._sample(docs, labels, 1000)
+    assert sorted(map(tuple, sample.collect())) == [(0, "second"), (1, "again"), (1, "first")]
+
+
 def test_toxicity_of_odd_rows_and_without_labels(documents, spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.train(documents(ODD), none)
