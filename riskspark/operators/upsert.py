@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from riskspark import constants as K
 from riskspark.operators.dedupe import latest_per_key
+from riskspark.operators.key_index import candidate_partitions, write_key_index
 from riskspark.operators.silver import within_window
 from riskspark.sources.sinks import overwrite_partitions, write_snapshot
-from riskspark.sources.tables import DEFAULT_PARTITION, DateLike, read_table, table_exists
+from riskspark.sources.tables import DEFAULT_PARTITION, DateLike, among, read_table, table_exists
 from riskspark.sources.workdir import stage_table
 
 
@@ -38,27 +39,28 @@ def stage_changes(
     return reader.parquet(f"{path}/snapshot_date={str(date)[:10]}")
 
 
-def _among(column: str, values: list) -> Column:
-    """Whether a partition is one of the listed ones; the default partition is null. Prunes the scan."""
-    known = F.col(column).isin([v for v in values if v is not None])
-    return F.coalesce(known, F.lit(False)) | (F.col(column).isNull() if None in values else F.lit(False))
-
-
 def affected_partitions(
-    base: DataFrame | None, changes: DataFrame, incoming: DataFrame, key: str, partition: str
+    base: DataFrame | None,
+    changes: DataFrame,
+    incoming: DataFrame,
+    key: str,
+    partition: str,
+    may_hold: list | None = None,
 ) -> DataFrame:
     """Row counts of every partition that the change set touches.
 
     A partition is touched when a changed record arrives there, or when the table now holds a
     changed key there. ``rows_after`` is what it will hold: rows now, less those replaced, plus
     those arriving. One row per partition. Of the base only keys and partitions are read to find
-    the touched ones, and only touched partitions are counted.
+    the touched ones, those of the partitions in ``may_hold`` if it is given, and only touched
+    partitions are counted.
     """
     arriving = incoming.groupBy(partition).agg(F.count(F.lit(1)).alias("arriving"))
     if base is None:
         return arriving.selectExpr(partition, "arriving AS rows_after", "false AS exists_now")
     leaving = (
-        base.select(key, partition)
+        (base if may_hold is None else base.where(among(partition, may_hold)))
+        .select(key, partition)
         .join(changes.select(key), key, "left_semi")
         .groupBy(partition)
         .agg(F.count(F.lit(1)).alias("replaced"))
@@ -72,7 +74,7 @@ def affected_partitions(
     )
     # one row per touched partition, so bounded by the table's partition count
     values = [row[partition] for row in touched.select(partition).collect()]
-    now = base.where(_among(partition, values)).groupBy(F.col(partition).alias("_held")).agg(
+    now = base.where(among(partition, values)).groupBy(F.col(partition).alias("_held")).agg(
         F.count(F.lit(1)).alias("now")
     )
     return touched.join(now, F.col(partition).eqNullSafe(F.col("_held")), "left").select(
@@ -99,6 +101,7 @@ def upsert_partitions(
     target: str = "published_year",
     lineage: str | None = None,
     snapshot_date: DateLike | None = None,
+    index: str | None = None,
 ) -> UpsertStats:
     """Bring a table partitioned by ``partition`` up to date with a change set.
 
@@ -108,18 +111,24 @@ def upsert_partitions(
     the work folder and counted there; only if the count is as expected does it replace them, so a
     failure before that changes nothing. Partitions that lose all rows are cleared after it; a run
     that broke off in between is put right by running the same change set again.
+
+    With an ``index`` folder only partitions that may hold a changed key are searched for it, and
+    the index is renewed for the partitions that changed.
     """
     latest = stage_changes(changes, lineage, snapshot_date, key=key, newest=newest)
     if latest.isEmpty():
         return UpsertStats()
     base = read_table(spark, table) if table_exists(spark, table) else None
     incoming = within_window(latest, first_year, target).withColumn(partition, F.col(target))
-    touched = affected_partitions(base, latest, incoming, key, partition).collect()
+    may_hold = None
+    if base is not None and index is not None:
+        may_hold = candidate_partitions(spark, latest, table, index, key, partition)
+    touched = affected_partitions(base, latest, incoming, key, partition, may_hold).collect()
     if not touched:
         return UpsertStats()
     result = incoming
     if base is not None:
-        held = base.where(_among(partition, [row[partition] for row in touched]))
+        held = base.where(among(partition, [row[partition] for row in touched]))
         result = merged(held, incoming, latest, key)
     staged = stage_table(result, "upsert")
     expected, found = sum(row["rows_after"] for row in touched), staged.count()
@@ -128,6 +137,8 @@ def upsert_partitions(
     written = overwrite_partitions(staged, table, [partition])
     emptied = [row[partition] for row in touched if row["exists_now"] and not row["rows_after"]]
     _write_empty(spark, table, partition, emptied, result.drop(partition).schema)
+    if index is not None:
+        write_key_index(spark, table, index, key, partition, [row[partition] for row in touched])
     return UpsertStats(
         modified_rows=incoming.count(), affected_years=len(touched), written_rows=written
     )

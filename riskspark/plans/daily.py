@@ -11,6 +11,7 @@ from riskspark import constants as K
 from riskspark.operators import (
     actions,
     clustering,
+    key_index,
     master,
     projection,
     quality,
@@ -62,8 +63,10 @@ def load_catalogue(
     first_year: int = K.FIRST_YEAR,
 ) -> None:
     """Rebuild the catalogue when asked to or when there is none yet, else apply the changes."""
+    index = tables.silver("catalogue_keys")
     if full or not table_exists(spark, tables.silver("catalogue")):
         upsert.full_refresh(catalogue, tables.silver("catalogue"), first_year)
+        key_index.write_key_index(spark, tables.silver("catalogue"), index, "cve_id", "year")
     else:
         upsert.upsert_partitions(
             spark,
@@ -72,6 +75,7 @@ def load_catalogue(
             first_year,
             lineage=tables.silver("catalogue_updates"),
             snapshot_date=date,
+            index=index,
         )
 
 

@@ -574,6 +574,18 @@ FROM base WHERE number % 12 <> 0""",
 SELECT cve_id, last_modified, CASE WHEN number % 10 <> 0 THEN description END AS description,
        CASE WHEN number % 10 = 0 THEN 'seen' END AS review, published_year, published_year AS year
 FROM base""",
+    "upsert_key_index": """WITH quarters AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS cve_id, o_orderdate AS last_modified, o_orderstatus AS description,
+         CAST(year(o_orderdate) * 10 + quarter(o_orderdate) AS INTEGER) AS q, o_orderkey % 97 = 0 AS changed
+  FROM orders),
+named AS (
+  SELECT *, changed AND q IN (19932, 19974) AS hit, CASE WHEN changed AND q = 19932 THEN 19961 ELSE q END AS now
+  FROM quarters)
+SELECT cve_id, last_modified,
+       CASE WHEN hit AND q = 19932 THEN 'moved' WHEN hit THEN 'changed' ELSE description END AS description,
+       CAST(now AS INTEGER) AS published_year, CAST(now AS INTEGER) AS year,
+       now IN (SELECT q FROM named WHERE hit) AS searched
+FROM named""",
     "upsert_empty": f"""WITH {CHANGES}
 SELECT cve_id, last_modified, description, published_year, published_year AS year, 0 AS written_rows
 FROM base""",

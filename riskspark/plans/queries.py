@@ -13,6 +13,7 @@ from riskspark.functions.text import clean_text, words
 from riskspark.operators import (
     actions,
     clustering,
+    key_index,
     kpis,
     master,
     measures,
@@ -30,6 +31,7 @@ from riskspark.plans import daily, serving, views
 from riskspark.plans.views import DOC_DATE, LINE_DATE
 from riskspark.sources import feeds, sinks
 from riskspark.sources.tables import (
+    among,
     at_snapshot,
     available_snapshots,
     find_snapshot,
@@ -322,6 +324,26 @@ def upsert_new_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def upsert_key_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two change sets that concern two and one of 28 quarters; the index tells which to search.
+
+    ``searched`` marks the quarters that the index named for the first change set.
+    """
+    orders = views.order_catalogue(spark, sf_dir).withColumn(
+        "published_year", F.col("published_year") * 10 + F.quarter("last_modified")
+    )
+    path, index = _order_table(spark, orders), scratch_path(spark, "order-keys")
+    key_index.write_key_index(spark, path, index, "cve_id", "year")
+    few = orders.where("published_year in (19932, 19974) and cast(cve_id as long) % 97 = 0")
+    searched = key_index.candidate_partitions(spark, few, path, index, "cve_id", "year")
+    upsert.upsert_partitions(spark, few.withColumn("description", F.lit("changed")), path, 1990, index=index)
+    moved = few.where("published_year = 19932").withColumns(
+        {"published_year": F.lit(19961), "description": F.lit("moved")}
+    )
+    upsert.upsert_partitions(spark, moved, path, 1990, index=index)
+    return read_table(spark, path).withColumn("searched", among("year", searched))
+
+
 def upsert_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A change set without records changes nothing."""
     orders = views.order_catalogue(spark, sf_dir)
@@ -847,6 +869,7 @@ QUERIES = {
     "upsert_null_partition": upsert_null_partition,
     "upsert_leaves_window": upsert_leaves_window,
     "upsert_new_columns": upsert_new_columns,
+    "upsert_key_index": upsert_key_index,
     "upsert_empty": upsert_empty,
     "full_refresh": full_refresh,
     "repartition_table": repartition_table,

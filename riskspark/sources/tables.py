@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 DateLike = str | dt.date
@@ -35,6 +36,12 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def among(column: str, values: Sequence) -> Column:
+    """Whether a partition is one of the listed ones; the default partition is None. Prunes the scan."""
+    known = F.col(column).isin([v for v in values if v is not None])
+    return F.coalesce(known, F.lit(False)) | (F.col(column).isNull() if None in values else F.lit(False))
+
+
 def as_date(value: DateLike):
     return F.lit(str(value)[:10]).cast("date")
 
