@@ -128,6 +128,17 @@ def assembly_stages() -> list:
     ]
 
 
+def project(df: DataFrame, column: str, components: int) -> tuple[DataFrame, list[float]]:
+    """Vectors on their first principal components, as ``features``, and each one's share of the variance (M8).
+
+    One aggregation leaves a covariance matrix, as large as the dimensions squared whatever the rows;
+    rows are projected as they are, without taking off the mean. More components than dimensions are
+    an error of the caller's.
+    """
+    model = PCA(k=components, inputCol=column, outputCol="features").fit(df)
+    return model.transform(df), model.explainedVariance.toArray().tolist()
+
+
 def build_features(
     prepared: DataFrame, settings: FeatureSettings = FeatureSettings()
 ) -> tuple[DataFrame, DataFrame]:
@@ -145,9 +156,8 @@ def build_features(
     if settings.pca_components is None:
         features = assembled.withColumnRenamed("assembled", "features")
     else:
-        # more components than dimensions are an error of the caller's
-        pca = PCA(k=settings.pca_components, inputCol="assembled", outputCol="features")
-        features = stage_table(pca.fit(assembled).transform(assembled).drop("assembled"), "pca")
+        projected, _ = project(assembled, "assembled", settings.pca_components)
+        features = stage_table(projected.drop("assembled"), "pca")
     weights = terms.term_weights(worded, settings.min_documents, settings.vocabulary_size)
     return features, stage_table(weights, "term-weights")
 

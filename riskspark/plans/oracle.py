@@ -365,6 +365,44 @@ SELECT cve_id,
                     WHEN '4' THEN 'v2' END AS cvss_version
 FROM feed"""
 
+def _dot(a: str, b: str) -> str:
+    return f"list_dot_product({a}, {b})"
+
+
+def _times(vector: str) -> str:
+    return f"list_transform(c, lambda r: list_dot_product(r, {vector}))"
+
+
+def _without(vector: str, other: str) -> str:
+    """The part of a vector that is at right angles to another one of length 1."""
+    return f"list_transform(list_zip({vector}, {other}), lambda p: p[1] - {_dot(vector, other)} * p[2])"
+
+
+def _unit(vector: str) -> str:
+    return f"list_transform({vector}, lambda x: x / sqrt({_dot(vector, vector)}))"
+
+
+#: Three principal axes of the vectors by power iteration, each kept at right angles to those before.
+AXES = f"""RECURSIVE parts AS (
+  SELECT vec_id, unnest(range(1, len(embedding) + 1)) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings),
+pairs AS (
+  SELECT a.i, b.i AS j, covar_samp(a.x, b.x) AS value FROM parts a JOIN parts b USING (vec_id) GROUP BY ALL),
+matrix AS (
+  SELECT list(r ORDER BY i) AS c FROM (SELECT i, list(value ORDER BY j) AS r FROM pairs GROUP BY i)),
+turns AS (
+  SELECT 0 AS n, list_transform(range(1, len(c) + 1), lambda i: sin(i)) AS u,
+         list_transform(range(1, len(c) + 1), lambda i: cos(2 * i + 0.3)) AS v,
+         list_transform(range(1, len(c) + 1), lambda i: sin(3 * i + 0.7)) AS w FROM matrix
+  UNION ALL
+  SELECT n, u, v, {_unit("w")} FROM (
+    SELECT n, u, v, {_without("w", "v")} AS w FROM (
+      SELECT n, u, {_unit("v")} AS v, {_without("w", "u")} AS w FROM (
+        SELECT n, u, {_without("v", "u")} AS v, w FROM (
+          SELECT n, {_unit("u")} AS u, v, w FROM (
+            SELECT n + 1 AS n, {_times("u")} AS u, {_times("v")} AS v, {_times("w")} AS w
+            FROM turns, matrix WHERE n < 1500)))))),
+axes AS (SELECT u, v, w FROM turns WHERE n = 1500)"""
+
 ORACLE_SQL = {
     "remediation_actions_top50": f"WITH {LINE},{_actions('scored', 'priority_score')} LIMIT 50",
     "remediation_actions_all": f"WITH {FINAL},{_actions('final', 'priority_score_final')}",
@@ -619,6 +657,16 @@ UNION SELECT cve_id, 'cpe_vendors', cpe_vendors FROM master WHERE cpe_vendors IS
     "davies_bouldin_terms": f"""WITH {_TERMS},
 parts AS (SELECT cve_id AS point, CAST(cve_id AS BIGINT) % 5 AS own, term AS i, weight AS x FROM weights),
 {_TO_GROUPS}, {_DAVIES_BOULDIN}""",
+    "pca_variance": f"""WITH {AXES},
+total AS (SELECT sum(value) AS t FROM pairs WHERE i = j)
+SELECT CAST(component AS INTEGER) AS component, round(value / t, 6) AS share
+FROM total, (SELECT unnest([1, 2, 3]) AS component,
+             unnest([{_dot("u", _times("u"))}, {_dot("v", _times("v"))}, {_dot("w", _times("w"))}]) AS value
+             FROM axes, matrix)""",
+    "pca_lengths": f"""WITH {AXES},
+vectors AS (SELECT vec_id, list(x ORDER BY i) AS x FROM parts GROUP BY vec_id)
+SELECT vec_id, round({_dot("x", "u")} ** 2 + {_dot("x", "v")} ** 2 + {_dot("x", "w")} ** 2, 6) AS length
+FROM vectors, axes""",
     "silhouette_given": f"""WITH {_VECTOR_PARTS}, {_TO_GROUPS},
 means AS (SELECT *, norm + squares / n - 2 * dot / n AS d FROM met),
 pairs AS (

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from riskspark import constants as K
@@ -795,6 +796,26 @@ def _vector_moments(spark: SparkSession, sf_dir: str) -> measures.Moments:
     return measures.moments(_vector_entries(spark, sf_dir), given)
 
 
+def _projected(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[float]]:
+    vectors = views.table(spark, sf_dir, "embeddings")
+    given = vectors.select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("given"))
+    return clustering.project(given, "given", 3)
+
+
+def pca_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of the variance of each of three principal components."""
+    _, shares = _projected(spark, sf_dir)
+    rows = spark.createDataFrame(list(enumerate(shares, 1)), "component int, share double")
+    return _rounded(rows, "share")
+
+
+def pca_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Squared length of each vector's projection: free of the signs and order of the components."""
+    rows, _ = _projected(spark, sf_dir)
+    squares = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda total, x: total + x * x)
+    return _rounded(rows.select("vec_id", squares.alias("length")), "length")
+
+
 def _measured(spark: SparkSession, name: str, value: float | None) -> DataFrame:
     return spark.createDataFrame([(value,)], f"{name} double").select(F.round(name, 6).alias(name))
 
@@ -920,6 +941,8 @@ QUERIES = {
     "numeric_features": numeric_features,
     "davies_bouldin_given": davies_bouldin_given,
     "davies_bouldin_terms": davies_bouldin_terms,
+    "pca_variance": pca_variance,
+    "pca_lengths": pca_lengths,
     "silhouette_given": silhouette_given,
     "lloyd_given": lloyd_given,
     "topics_given": topics_given,
