@@ -36,8 +36,8 @@ BLOCKS = frozenset(
     "tbody td tfoot th thead tr ul".split()
 )
 SKIPPED = frozenset(
-    "applet audio button canvas datalist embed head iframe math meter noframes noscript object option output progress "
-    "script select style svg template textarea title video".split()
+    "applet audio button canvas datalist embed head iframe noframes noscript option script select style svg template "
+    "textarea title video".split()
 )
 RAW = frozenset("script style textarea title iframe noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -99,12 +99,18 @@ def _text_features(text: str, linked: int, parent_tag: str) -> list[str]:
 
 
 def parse(page: str) -> Tree:
-    """The tree of a page, however broken: open elements end with the page, stray ends are dropped."""
+    """The tree of a page, however broken: open elements end with the page, stray ends are dropped.
+
+    An element without text of the page that is never closed starts nothing: what follows is read on.
+    If only a later one of its kind is closed, it ends with the element it stands in.
+    """
     tree = Tree()
     tree.parents.append(-1)
     tree.features.append(["root"])
     stack: list[tuple[str, int]] = [("#root", 0)]
     paragraphs, linked_depth, skip, skip_depth = 0, 0, "", 0
+    skipped: list[str] = []  # open block elements inside of what is skipped
+    last_ends: dict[str, int] = {}
     pieces: list[str] = []
     linked = 0
 
@@ -160,6 +166,16 @@ def parse(page: str) -> Tree:
                     skip = ""
             elif skip == "head" and (name == "body" or name in BLOCKS and not slash and name not in ("html", "hr")):
                 skip = ""  # a head without an end
+            elif name in BLOCKS or name == "foreignobject":
+                if slash and name in skipped:
+                    while skipped.pop() != name:
+                        pass
+                elif slash and any(tag == name for tag, _ in stack):
+                    skip = ""  # the element around ends
+                elif skip == "svg" and not slash and name in BLOCKS and "foreignobject" not in skipped:
+                    skip = ""  # no block stands in a drawing
+                elif not slash and name not in VOID and not raw.endswith("/"):
+                    skipped.append(name)
             if skip or name in SKIPPED:
                 if name in RAW and not slash:
                     at = _past_raw(page, at, name)
@@ -170,7 +186,11 @@ def parse(page: str) -> Tree:
             if name in RAW:
                 at = _past_raw(page, at, name)
                 continue
-            skip, skip_depth = name, 1
+            if name != "head" and name not in last_ends:
+                last_ends[name] = _last_end(page, name)
+            if name == "head" or last_ends[name] > at:
+                skip, skip_depth = name, 1
+                skipped.clear()
             continue
         if name in BLOCKS:
             if slash:
@@ -210,6 +230,11 @@ def parse(page: str) -> Tree:
     return tree
 
 
+def _last_end(page: str, name: str) -> int:
+    """Where the last end tag of a kind stands, -1 if there is none."""
+    return max((match.start() for match in re.finditer(rf"</{name}\b", page, re.I)), default=-1)
+
+
 def _past_raw(page: str, at: int, name: str) -> int:
     """Where the text of an element without markup inside ends; the end of the page if it never does."""
     match = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)

@@ -300,6 +300,28 @@ def test_sum_product_gives_exact_marginals():
         base += size
 
 
+@pytest.mark.parametrize("kind", ["button", "svg", "noscript", "video", "select", "canvas", "template"])
+def test_elements_that_are_never_closed_hide_nothing_after_them(kind):
+    texts = lambda page: list(html_extract.parse(page).texts.values())
+    rest = "<p>second</p></article><p>third</p>"
+    assert texts(f"<article><p>first <{kind}></p>{rest}") == ["first", "second", "third"]
+    assert texts(f"<{kind}><p>first</p>") == ["first"]
+    # the end tag belongs to a later one: the open one ends with its parent
+    closed = f"<div><{kind}>y</{kind}>fourth</div>"
+    assert texts(f"<article><p>first <{kind}>x</p>{rest}{closed}") == ["first", "second", "third", "fourth"]
+    assert texts(f"<div>a<{kind}>x</{kind.upper()}>b</div>") == ["ab"]
+
+
+def test_what_is_skipped_may_hold_blocks_and_its_own_kind():
+    texts = lambda page: list(html_extract.parse(page).texts.values())
+    assert texts("<div>a<noscript><div>x<p>y</div>z</noscript>b</div>c") == ["ab", "c"]
+    assert texts("<div>a<svg><g><svg>x</svg>y</g><foreignObject><div>z</div></foreignObject>w</svg>b</div>") == ["ab"]
+    assert texts("<div>a<svg>x<p>b</p>c</svg></div>") == ["a", "b", "c"]
+    assert texts("<p>It is <output>42</output> <meter>7 of 9</meter> <math><mi>x</mi></math>.</p>") == ["It is 42 7 of 9 x."]
+    many = "<div><button>x" * 3000 + "</div>" * 3000 + "<p>end</p>"
+    assert texts(many)[-1] == "end" and len(texts(many)) == 3001
+
+
 def test_held_out_pages():
     model = html_extract.trained_model()
     trees = [html_extract.parse(p) for p in html_extract.labelled_pages(120, seed=99)]
