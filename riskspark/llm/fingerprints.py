@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskspark.llm.native import gram_hash, plain_words, word_ids
+from riskspark.operators.ranking import global_rank
 
 GRAM = 5
 WINDOW = 16
@@ -98,11 +99,12 @@ def _blocks_below(texts: DataFrame) -> DataFrame:
     """For each block the text of the first document in the next lower one; the lowest has the highest."""
     firsts = texts.groupBy("block").agg(F.max(F.struct("doc_id", "text")).alias("top"))
     groups = firsts.select("block", F.floor(F.col("block") / BLOCKS).alias("group"))
-    # the highest block of each group of blocks, and of the group below: one row per BLOCK * BLOCKS ids
-    tops = groups.groupBy("group").agg(F.max("block").alias("highest"))
-    falling = Window.orderBy(F.desc("group"))
-    tops = tops.select(
-        "group", F.coalesce(F.lead("highest").over(falling), F.first("highest").over(falling)).alias("below")
+    # the highest block of each group of blocks, and of the group below: with sparse ids there may be as
+    # many groups as documents, so their order comes from a distributed sort
+    tops = global_rank(groups.groupBy("group").agg(F.max("block").alias("highest")), ["-group"], "place")
+    after = tops.select((F.col("place") - 1).alias("place"), F.col("highest").alias("next"))
+    tops = tops.join(after, "place", "left").select(
+        "group", F.coalesce("next", tops.agg(F.max("highest")).scalar()).alias("below")
     )
     inside = Window.partitionBy("group").orderBy(F.desc("block"))
     order = groups.join(tops, "group").select(
