@@ -21,8 +21,12 @@ from riskspark.llm.common import as_rows
 from riskspark.llm.native import bitmap, gram_hash, in_bitmap, plain_words, word_ids
 from riskspark.sources.workdir import stage_table
 
-#: Places that a seed looks at. One of them hits 15 or 20 words with a fifth substituted at random.
+#: Places that a seed looks at. Whichever fifth of an item's words (of 20 in a longer item) is
+#: substituted, a mask fits between: the first masks see to items of ``SHORT`` words and more, the
+#: second ones, which hit by chance more often, to shorter items.
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 2, 4, 5))
+SHORT_MASKS = ((0, 1, 2), (0, 1, 3))
+SHORT = 12
 SHORTEST = 5
 WINDOW = 20
 SIMILARITY = 0.8
@@ -30,23 +34,24 @@ SIMILARITY = 0.8
 MAX_BROADCAST = 500_000
 
 
-def _seed_array(ids: Column) -> Column:
+def _seed_array(ids: Column, masks: tuple[tuple[int, ...], ...]) -> Column:
     """Hashes under every mask of every position, position by position.
 
     Near the end of a text a mask may reach past it: such a seed stands for the words it still sees.
     """
+    least = len(masks[0])
     many = F.flatten(
         F.transform(
-            F.sequence(F.lit(0), F.size(ids) - SHORTEST),
-            lambda at: F.array(*[F.xxhash64(F.lit(i), gram_hash(ids, at, mask)) for i, mask in enumerate(MASKS)]),
+            F.sequence(F.lit(0), F.size(ids) - least),
+            lambda at: F.array(*[F.xxhash64(F.lit(i), gram_hash(ids, at, mask)) for i, mask in enumerate(masks)]),
         )
     )
     # a condition here and not on the rows: a filter would compute the words once more
-    return F.when(F.size(ids) >= SHORTEST, many)
+    return F.when(F.size(ids) >= least, many)
 
 
-def _position(index: Column) -> Column:
-    return F.floor(index / len(MASKS)).cast("int")
+def _position(index: Column, masks: tuple[tuple[int, ...], ...]) -> Column:
+    return F.floor(index / len(masks)).cast("int")
 
 
 def _agreement(item: Column, doc: Column) -> Column:
@@ -72,7 +77,7 @@ def contaminated(
     ``place`` is the word of the document at which the item's first word lies (negative if the item
     begins before it), ``matched`` of ``compared`` places agree in the best window, ``hits`` counts
     positions with a seed. Words are lower-cased runs of letters, digits and non-ASCII characters. Items of fewer
-    words than the shortest seed cannot be told from chance and are never reported. Null texts and
+    than five words cannot be told from chance and are never reported. Null texts and
     null ids of items give no rows; a document without an id is reported under null. Repeated rows
     count as one. Extra columns are not looked at.
     """
@@ -88,25 +93,33 @@ def _overlaps(docs: DataFrame, benchmark: DataFrame, window: int, similarity: fl
     )
     items = items.where(F.size("item_ids") >= SHORTEST).distinct()
     items = stage_table(items.withColumn("item", F.xxhash64("item_id", "item_ids")), "items")
-    placed = items.select("item", F.posexplode(_seed_array(F.col("item_ids"))).alias("pos", "seed"))
-    seeds = stage_table(placed.select("item", _position(F.col("pos")).alias("item_at"), "seed"), "seeds")
-    count = seeds.count()
-    parts = max(1, -(-count // MAX_BROADCAST))
     texts = docs.select(
         "doc_id", F.xxhash64("text").alias("text_hash"), word_ids(plain_words(F.col("text"))).alias("ids")
     )
+    found = _hits(texts, items.where(F.size("item_ids") >= SHORT), MASKS)
+    short = items.where(F.size("item_ids") < SHORT)
+    if not short.isEmpty():  # documents are hashed a second time only if there is something to look for
+        found = found.union(_hits(texts, short, SHORT_MASKS))
+    return _verified(found.join(items, "item"), window, similarity)
+
+
+def _hits(texts: DataFrame, items: DataFrame, masks: tuple[tuple[int, ...], ...]) -> DataFrame:
+    """Every position of a text that shares a seed with an item, the seeds in parts of bounded size."""
+    placed = items.select("item", F.posexplode(_seed_array(F.col("item_ids"), masks)).alias("pos", "seed"))
+    seeds = stage_table(placed.select("item", _position(F.col("pos"), masks).alias("item_at"), "seed"), "seeds")
+    count = seeds.count()
+    parts = max(1, -(-count // MAX_BROADCAST))
     found = None
     for part in range(parts):
         few = seeds.where(F.pmod(F.xxhash64("seed", "item"), F.lit(parts)) == part)
-        hits = _met(texts, few, min(22, max(16, (64 * count // parts).bit_length())))
-        hits = _verified(hits.join(items, "item"), window, similarity)
+        hits = _met(texts, few, masks, min(22, max(16, (64 * count // parts).bit_length())))
         found = hits if found is None else found.union(hits)
     return found
 
 
-def _met(texts: DataFrame, seeds: DataFrame, bits: int) -> DataFrame:
+def _met(texts: DataFrame, seeds: DataFrame, masks: tuple[tuple[int, ...], ...], bits: int) -> DataFrame:
     """Positions of texts that share a seed with an item, with the words of the text."""
-    hashed = texts.withColumn("hashes", _seed_array(F.col("ids"))).withColumn("bits_set", bitmap(seeds, "seed", bits))
+    hashed = texts.withColumn("hashes", _seed_array(F.col("ids"), masks)).withColumn("bits_set", bitmap(seeds, "seed", bits))
     likely = F.filter(
         F.transform("hashes", lambda seed, pos: F.struct(pos.alias("pos"), seed.alias("seed"))),
         lambda entry: in_bitmap(F.col("bits_set"), entry["seed"], bits),
@@ -114,7 +127,7 @@ def _met(texts: DataFrame, seeds: DataFrame, bits: int) -> DataFrame:
     # the expression itself, not a column of it: for a column the optimizer adds a filter that it
     # would compute from the text once more for every word
     rows = hashed.select("doc_id", "text_hash", "ids", F.inline(likely))
-    rows = rows.select("doc_id", "text_hash", "ids", _position(F.col("pos")).alias("at"), "seed")
+    rows = rows.select("doc_id", "text_hash", "ids", _position(F.col("pos"), masks).alias("at"), "seed")
     return rows.join(F.broadcast(seeds), "seed").withColumn("place", F.col("at") - F.col("item_at"))
 
 

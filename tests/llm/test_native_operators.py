@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 from hashlib import sha256
@@ -180,6 +181,28 @@ def test_overlaps_equal_brute_force(documents, spark, capsys):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({i for i, _ in rows} - {i for i, _ in want})
 
 
+def test_some_mask_fits_beside_all_allowed_substitutions():
+    for size in range(decontaminate.SHORTEST, decontaminate.WINDOW + 1):
+        masks = decontaminate.MASKS if size >= decontaminate.SHORT else decontaminate.SHORT_MASKS
+        seeds = [{at + m for m in mask} for mask in masks for at in range(size - mask[-1])]
+        for changed in itertools.combinations(range(size), size // 5):
+            assert any(seed.isdisjoint(changed) for seed in seeds), (size, changed)
+
+
+def test_short_items_with_every_allowed_substitution(documents, spark):
+    items = {n: [f"n{n}w{i}" for i in range(n)] for n in (5, 6, 7, 9, 10, 11, 13)}
+    rows, want = [], set()
+    for n, item in items.items():
+        for changed in itertools.combinations(range(n), n // 5):
+            words = ["x" if i in changed else w for i, w in enumerate(item)]
+            want.add((len(rows), n))
+            rows.append((len(rows), " ".join(["a", *words, "b"] if len(rows) % 2 else words)))
+        rows.append((len(rows), " ".join(["x"] * (n // 5 + 1) + item[n // 5 + 1 :])))
+    benchmark = spark.createDataFrame([(n, " ".join(item)) for n, item in items.items()], "item_id long, text string")
+    got = decontaminate.contaminated(documents(rows), benchmark)
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == want
+
+
 def test_overlaps_cut_off_by_either_end_of_a_document(documents, spark):
     item = [f"w{i}" for i in range(20)]
     benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
