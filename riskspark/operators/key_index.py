@@ -1,4 +1,4 @@
-"""Which partitions of a table may hold a key, told without reading their keys.
+"""Which partitions of a table hold a key, told without reading the keys of most others.
 
 Beside a partitioned table lies an index of two small tables. One has a row per partition: lowest
 and highest key, a signature of the files it was made from, and a level. The other holds the keys of
@@ -7,7 +7,8 @@ each, so that one lookup reads one block per partition and no block or task grow
 
 The index only ever leaves partitions out. A partition whose files are no longer those of its
 signature, or that has none, counts as one that may hold anything: a stale, missing or half-written
-index costs a scan and never a result.
+index costs a scan and never a result. What the blocks name by chance goes too: the keys of named
+partitions, and of no others, are read and compared.
 """
 
 from __future__ import annotations
@@ -96,10 +97,11 @@ def write_key_index(
 def candidate_partitions(
     spark: SparkSession, changes: DataFrame, table: str, index: str, key: str, partition: str
 ) -> list:
-    """Partitions of the table that may hold a key of ``changes``, nulls among them as None.
+    """Partitions of the table that hold a key of ``changes``, nulls among them as None.
 
-    Every partition that holds one is in the list. What reaches the driver is a row per partition,
-    the levels in use (at most some thirty) and the lowest and highest changed key.
+    Every partition that holds one is in the list, and beside them only those that the index does
+    not know as they are. What reaches the driver is a row per partition, the levels in use (at most
+    some thirty) and the lowest and highest changed key.
     """
     now = stage_table(partition_files(spark, table, partition), "files")
     if not (table_exists(spark, f"{index}/partitions") and table_exists(spark, f"{index}/blocks")):
@@ -126,6 +128,12 @@ def candidate_partitions(
         met = asked.join(blocks, ["level", "block"]).where("key between low and high")
         for place in _probes(F.col("key")):
             met = met.where(_is_set(F.col("bits"), place))
-        found += [row[partition] for row in met.select(partition).distinct().collect()]
+        hits = stage_table(met.select(partition, "key").distinct(), "key-hits")
+        named = [row[partition] for row in hits.select(partition).distinct().collect()]
+        held = read_table(spark, table).where(among(partition, named)).select(F.col(partition), F.col(key).alias("key"))
+        same = F.col(f"t.{partition}").eqNullSafe(F.col(f"h.{partition}")) & (F.col("t.key") == F.col("h.key"))
+        holders = held.alias("t").join(hits.alias("h"), same, "left_semi").select(partition).distinct()
+        found += [row[partition] for row in holders.collect()]
+        discard(hits)
     discard(known)
     return found
