@@ -19,6 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table whose rows each become far more than they are, dealt over tasks by ``key``.
+
+    A small table is one split, and its scan one task, however much is made of its rows.
+    """
+    return table(spark, sf_dir, name).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def severity_class(score: Column) -> Column:
     return (
         F.when(score >= 9, "CRITICAL")
@@ -153,8 +161,8 @@ def probability_raw(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
     )
 
 
-def order_feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One nested feed document per order, as JSON text lines."""
+def _order_record() -> Column:
+    """The nested feed record of an order."""
     key, customer = F.col("o_orderkey"), F.col("o_custkey")
     status, urgency = F.col("o_orderstatus"), F.substring("o_orderpriority", 1, 1)
     score = (key % 101) / 10
@@ -209,7 +217,7 @@ def order_feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit("http://a").alias("url"), F.lit(None).cast("array<string>").alias("tags")),
         F.struct(F.lit("http://b").alias("url"), tags.alias("tags")),
     )
-    record = F.struct(
+    return F.struct(
         F.concat(F.lit("  cve-"), key.cast("string"), F.lit(" ")).alias("id"),
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("published"),
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("lastModified"),
@@ -226,6 +234,11 @@ def order_feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(status == "F", F.slice(references, 1, 1))
         .alias("references"),
     )
+
+
+def order_feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One nested feed document per order, as JSON text lines."""
+    record = _order_record()
     return table(spark, sf_dir, "orders").select(
         F.to_json(F.struct(F.array(F.struct(record.alias("cve"))).alias("vulnerabilities"))).alias(
             "value"
@@ -234,14 +247,14 @@ def order_feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_feed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same documents joined to longer ones of up to 500 order numbers each, on several lines."""
-    records = order_feed_lines(spark, sf_dir).select(
-        F.get_json_object("value", "$.vulnerabilities[0]").alias("record"),
-        F.get_json_object("value", "$.vulnerabilities[0].cve.id").alias("id"),
-    )
-    number = F.regexp_extract("id", "[0-9]+", 0).cast("long")
-    joined = records.groupBy(F.floor(number / 500).alias("part")).agg(
-        F.array_join(F.collect_list("record"), ",\n").alias("records")
+    """The same documents joined to longer ones of up to 500 order numbers each, on several lines.
+
+    Orders are brought together before they become text, so what is shuffled is as narrow as they are.
+    """
+    orders = table(spark, sf_dir, "orders").withColumn("part", F.floor(F.col("o_orderkey") / 500))
+    together = orders.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "part")
+    joined = together.groupBy("part").agg(
+        F.array_join(F.collect_list(F.to_json(F.struct(_order_record().alias("cve")))), ",\n").alias("records")
     )
     return joined.select(F.concat(F.lit('{"vulnerabilities": [\n'), "records", F.lit("\n]}")).alias("value"))
 
@@ -268,7 +281,7 @@ def wide_feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("cve-"), F.col("s_suppkey").cast("string")).alias("id"),
         configurations.alias("configurations"),
     )
-    return table(spark, sf_dir, "supplier").select(
+    return dealt(spark, sf_dir, "supplier", "s_suppkey").select(
         F.to_json(F.struct(F.array(F.struct(record.alias("cve"))).alias("vulnerabilities"))).alias("value")
     )
 
