@@ -21,15 +21,15 @@ def _orders(spark, path):
 def test_orders_are_joined_before_they_are_text(spark, tmp_path, capsys):
     _orders(spark, tmp_path)
     files = views.order_feed_files(spark, str(tmp_path))
+    files.explain()
+    plan = capsys.readouterr().out
+    # one shuffle, of the orders
+    assert plan.count("Exchange") == 1 and "get_json_object" not in plan
     texts = [json.loads(row.value)["vulnerabilities"] for row in files.collect()]
     assert sorted(map(len, texts)) == [1, 200, 499, 500]
     single = views.order_feed_lines(spark, str(tmp_path)).collect()
     alone = [json.dumps(json.loads(row.value)["vulnerabilities"][0], sort_keys=True) for row in single]
     assert sorted(alone) == sorted(json.dumps(record, sort_keys=True) for text in texts for record in text)
-    files.explain()
-    plan = capsys.readouterr().out
-    # one shuffle, of the orders
-    assert plan.count("Exchange") == 1 and "get_json_object" not in plan
 
 
 def test_wide_records_are_made_by_many_tasks(spark, tmp_path):
