@@ -736,8 +736,9 @@ def document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _worded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and their words; no table is made of them, as counting reads the words once."""
     kept = words(F.col("clean_text"), K.DOMAIN_STOP_WORDS, K.MIN_TOKEN_LENGTH)
-    return stage_table(_prepared(spark, sf_dir).withColumn("words", kept), "words")
+    return _prepared(spark, sf_dir).select("cve_id", kept.alias("words"))
 
 
 def _term_weights(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -118,6 +118,30 @@ def test_weights_hold_no_vocabulary_in_one_place(spark, capsys):
     assert "vector" not in plan.lower() and "collect_" not in plan and "SinglePartition" not in plan.replace("Scalar", "")
 
 
+def test_terms_are_counted_without_a_shuffle_of_words(spark, capsys):
+    kind = "cve_id int, words array<string>"
+    terms.term_counts(spark.createDataFrame([(1, ["b", "c", "b"]), (2, []), (3, None)], kind)).explain()
+    assert "Exchange" not in capsys.readouterr().out
+    # rows of one key count together, also those without a key
+    rows = [(1, ["b", "c", "b"]), (1, ["b"]), (None, ["c"]), (None, ["c", None]), (2, ["b"]), (3, []), (4, None)]
+    worded = spark.createDataFrame(rows, kind)
+    got = {(r.cve_id, r.term): r.n for r in terms.term_counts(worded).collect()}
+    assert got == {(1, "b"): 3, (1, "c"): 1, (None, "c"): 2, (None, None): 1, (2, "b"): 1}
+    assert {r.idf for r in terms.term_weights(worded).where("term = 'c'").collect()} == {math.log(8 / 3)}
+
+
+def test_common_and_rare_terms_are_both_weighed(spark, capsys):
+    n = 3 * terms.COMMON
+    worded = spark.range(n).selectExpr("id AS cve_id", "array('all', concat('of-', id), concat('of-', id)) AS words")
+    weights = terms.term_weights(worded)
+    weights.explain()
+    # all but rare terms find their weight without a shuffle
+    assert "Union" in capsys.readouterr().out
+    got = {(r.cve_id, r.term): (r.n, r.idf) for r in weights.collect()}
+    assert len(got) == 2 * n
+    assert all(got[i, "all"] == (1, 0.0) and got[i, f"of-{i}"] == (2, math.log((n + 1) / 2)) for i in range(n))
+
+
 def test_topics_of_a_cluster_without_values(spark):
     rows = [(1, 0, ["v"], ["c"], 1), (2, 1, [], [], 0)]
     given = spark.createDataFrame(rows, "cve_id int, cluster_id int, cpe_vendors array<string>, cwes array<string>, is_kev int")
