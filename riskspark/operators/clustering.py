@@ -20,6 +20,7 @@ from pyspark.ml.feature import (
     IDF,
     PCA,
     CountVectorizer,
+    CountVectorizerModel,
     HashingTF,
     StopWordsRemover,
     VectorAssembler,
@@ -101,10 +102,14 @@ def _counter(source: str, target: str, size: int | None, least: int, buckets: in
     return CountVectorizer(inputCol=source, outputCol=target, vocabSize=size, minDF=least, binary=binary)
 
 
-def text_stages(settings: FeatureSettings) -> list:
-    counter = _counter(
-        "words", "term_counts", settings.vocabulary_size, settings.min_documents, settings.buckets, False
-    )
+def text_stages(settings: FeatureSettings, vocabulary: list[str] | None = None) -> list:
+    """Counts and weights of terms; a ``vocabulary`` known already is not sought again."""
+    if vocabulary:
+        counter = CountVectorizerModel.from_vocabulary(vocabulary, "words", "term_counts")
+    else:
+        counter = _counter(
+            "words", "term_counts", settings.vocabulary_size, settings.min_documents, settings.buckets, False
+        )
     weigh = IDF(inputCol="term_counts", outputCol="tfidf")
     if settings.vocabulary_size is None:
         weigh.setMinDocFreq(settings.min_documents)
@@ -145,10 +150,15 @@ def build_features(
     """Feature table and the long table of term weights.
 
     Texts are split into words once; words and assembled vectors are written out, as fitting reads
-    them several times. The result keeps only the columns that clustering and topics need.
+    them several times, and words are counted once, for the vocabulary and the weights. The result
+    keeps only the columns that clustering and topics need.
     """
     worded = stage_table(words_of(prepared), "words")
-    stages = text_stages(settings) + category_stages(settings) + assembly_stages()
+    counts = terms.row_counts(worded)
+    vocabulary = None
+    if settings.vocabulary_size is not None:
+        vocabulary = terms.vocabulary(counts, settings.min_documents, settings.vocabulary_size)
+    stages = text_stages(settings, vocabulary) + category_stages(settings) + assembly_stages()
     model = Pipeline(stages=stages).fit(worded)
     assembled = stage_table(
         model.transform(worded).select(KEY, "assembled", "cwes", "cpe_vendors", "is_kev"), "features"
@@ -158,7 +168,7 @@ def build_features(
     else:
         projected, _ = project(assembled, "assembled", settings.pca_components)
         features = stage_table(projected.drop("assembled"), "pca")
-    weights = terms.term_weights(worded, settings.min_documents, settings.vocabulary_size)
+    weights = terms.term_weights(worded, settings.min_documents, settings.vocabulary_size, by_row=counts)
     return features, stage_table(weights, "term-weights")
 
 

@@ -42,6 +42,11 @@ def _counts_by_row(worded: DataFrame, words: str) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def row_counts(worded: DataFrame, words: str = "words") -> DataFrame:
+    """``cve_id``, ``term``, ``n`` of every row by itself, as a table."""
+    return stage_table(_counts_by_row(worded, words), "term-counts")
+
+
 def _keys(worded: DataFrame) -> DataFrame:
     """``cve_id``, ``rows``: how many rows each key has; no other column of the records is read."""
     return stage_table(worded.groupBy(KEY).agg(F.count(F.lit(1)).alias("rows")), "term-keys")
@@ -62,6 +67,18 @@ def term_counts(worded: DataFrame, words: str = "words") -> DataFrame:
     return _merged(_counts_by_row(worded, words), _keys(worded))
 
 
+def _known(counts: DataFrame, min_documents: int, size: int | None) -> DataFrame:
+    """``term``, ``n_with``, ``total`` of the terms that ``inverse_frequencies`` gives, most frequent first if cut."""
+    known = counts.groupBy("term").agg(F.count(F.lit(1)).alias("n_with"), F.sum("n").alias("total"))
+    known = known.where(F.col("n_with") >= min_documents)
+    return known if size is None else top_k(known, ["-total", "term"], size)
+
+
+def vocabulary(counts: DataFrame, min_documents: int, size: int) -> list[str]:
+    """The ``size`` most frequent terms that enough rows of ``counts`` have, ties by the term; ``size`` is a setting."""
+    return [row["term"] for row in _known(counts, min_documents, size).collect()]
+
+
 def inverse_frequencies(
     counts: DataFrame, n_records: Column, min_documents: int = 1, size: int | None = None
 ) -> DataFrame:
@@ -69,23 +86,24 @@ def inverse_frequencies(
 
     ``idf`` is the logarithm of (records + 1) / (records with the term + 1).
     """
-    known = counts.groupBy("term").agg(F.count(F.lit(1)).alias("n_with"), F.sum("n").alias("total"))
-    known = known.where(F.col("n_with") >= min_documents)
-    if size is not None:
-        known = top_k(known, ["-total", "term"], size)
+    known = _known(counts, min_documents, size)
     return known.select("term", F.log((n_records + F.lit(1.0)) / (F.col("n_with") + F.lit(1.0))).alias("idf"))
 
 
 def term_weights(
-    worded: DataFrame, min_documents: int = 1, size: int | None = None, words: str = "words"
+    worded: DataFrame,
+    min_documents: int = 1,
+    size: int | None = None,
+    words: str = "words",
+    by_row: DataFrame | None = None,
 ) -> DataFrame:
     """``cve_id``, ``term``, ``n``, ``idf``, ``weight`` = n x idf for every known term of every record.
 
     Records without words count among the records, and have no rows. ``worded`` is read twice, once
-    for its keys alone.
+    for its keys alone; ``by_row`` is its ``row_counts`` where they are there already.
     """
     keys = _keys(worded)
-    counts = _merged(stage_table(_counts_by_row(worded, words), "term-counts"), keys)
+    counts = _merged(row_counts(worded, words) if by_row is None else by_row, keys)
     idf = inverse_frequencies(counts, keys.agg(F.sum("rows")).scalar(), min_documents, size)
     weighed = _with_idf(counts, stage_table(idf, "term-idf"))
     return weighed.select(KEY, "term", "n", "idf", (F.col("n") * F.col("idf")).alias("weight"))

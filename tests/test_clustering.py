@@ -130,6 +130,18 @@ def test_terms_are_counted_without_a_shuffle_of_words(spark, capsys):
     assert {r.idf for r in terms.term_weights(worded).where("term = 'c'").collect()} == {math.log(8 / 3)}
 
 
+def test_vocabulary_is_taken_from_the_counted_words(spark):
+    rows = [(1, ["b", "b", "c"]), (2, ["b", "c", "c", "c"]), (2, ["d", "c"]), (None, ["d", "e"])]
+    worded = spark.createDataFrame(rows, "cve_id int, words array<string>")
+    found = terms.vocabulary(terms.row_counts(worded), 2, 2)
+    assert found == ["c", "b"]
+    settings = clustering.FeatureSettings(vocabulary_size=2, min_documents=2)
+    counter, sought = clustering.text_stages(settings, found)[0], clustering.text_stages(settings)[0].fit(worded)
+    assert sorted(sought.vocabulary) == sorted(counter.vocabulary)
+    got = [r.term_counts.toArray().tolist() for r in counter.transform(worded).collect()]
+    assert got == [[1, 2], [3, 1], [1, 0], [0, 0]]
+
+
 def test_common_and_rare_terms_are_both_weighed(spark, capsys):
     n = 3 * terms.COMMON
     worded = spark.range(n).selectExpr("id AS cve_id", "array('all', concat('of-', id), concat('of-', id)) AS words")
