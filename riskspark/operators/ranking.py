@@ -44,16 +44,17 @@ def ranked_prefix(df: DataFrame, order: Sequence[str], k: int, rank: str) -> Dat
     return top_k(df, order, k).withColumn(rank, row_numbers([], order))
 
 
-def global_rank(df: DataFrame, order: Sequence[str], rank: str) -> DataFrame:
+def global_rank(df: DataFrame, order: Sequence[str], rank: str, keep: Sequence[str] | None = None) -> DataFrame:
     """Exact 1-based position of every row in the total order, without a one-task window.
 
+    ``keep`` names the columns wanted beside the position, all by default; others are not written.
+
     ``orderBy`` leaves the rows in sorted runs, one per output partition. A row's place in its run
     is written out with the rows; the length of the runs before it is added on reading.
     """
     places = F.monotonically_increasing_id()  # run number << 33 | place in the run
-    placed = stage_table(
-        df.orderBy(*sort_columns(order)).withColumn("_place", places), "ranked"
-    )
+    placed = df.orderBy(*sort_columns(order)).withColumn("_place", places)
+    placed = stage_table(placed if keep is None else placed.select(*keep, "_place"), "ranked")
     run = F.shiftright("_place", 33)
     before = W.orderBy("_run").rowsBetween(W.unboundedPreceding, -1)
     offsets = (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -69,21 +70,27 @@ def _line_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score_final(_line_scored(spark, sf_dir))
 
 
-def _line_selectable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The final scores as the written table that selection reads several times."""
+#: What selections show of a record beside what they choose by.
+SHOWN = ("priority_level_final", "cvss_severity", "primary_vendor", "primary_product")
+
+
+def _line_selection(spark: SparkSession, sf_dir: str, shown: Sequence[str] = ()) -> DataFrame:
+    """One row per record with what selections choose by, and the columns that they show."""
     final = _line_final(spark, sf_dir).select(
         "cve_id",
         "cluster_id",
         "priority_score_final",
-        "priority_level_final",
         "epss_score",
         "is_kev",
         "cvss_score",
-        "cvss_severity",
-        "primary_vendor",
-        "primary_product",
+        *shown,
     )
-    return stage_table(selection.selection_input(final), "scores-final")
+    return selection.selection_input(final)
+
+
+def _line_selectable(spark: SparkSession, sf_dir: str, shown: Sequence[str] = SHOWN) -> DataFrame:
+    """The final scores as the written table that selection reads several times."""
+    return stage_table(_line_selection(spark, sf_dir, shown), "scores-final")
 
 
 def _doc_master(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -463,10 +470,10 @@ def _selected(strategy: str):
 def strategy_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every record's position under every strategy."""
     ordered = ["cve_id", "cluster_id", "priority_score_final", "epss_score", "is_kev"]
-    narrow = _line_selectable(spark, sf_dir).select(ordered)
-    facts = stage_table(selection.with_rounds(narrow), "rounds")
+    # read once; every strategy reads the table that ranking the clusters writes
+    facts = selection.with_rounds(_line_selection(spark, sf_dir).select(ordered))
     ranked = [
-        selection.strategy_ranking(facts, name).select(
+        selection.strategy_ranking(facts, name, keep=["cve_id"]).select(
             F.lit(name).alias("strategy"), "cve_id", "place"
         )
         for name in K.STRATEGIES
@@ -475,14 +482,14 @@ def strategy_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def strategy_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    full = _line_selectable(spark, sf_dir)
+    full = _line_selectable(spark, sf_dir, shown=())
     return selection.compare_strategies(full, selection.select_all(full)).orderBy(
         F.desc("kev_coverage"), "strategy"
     )
 
 
 def backlog_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return projection.project_backlog(_line_selectable(spark, sf_dir)).orderBy("strategy", "day")
+    return projection.project_backlog(_line_selectable(spark, sf_dir, shown=())).orderBy("strategy", "day")
 
 
 # --- clusters --------------------------------------------------------------------------------
@@ -655,7 +662,7 @@ def settings_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Capacity from the stored comparison; the horizon only from the last stored day."""
     capacity = views.table(spark, sf_dir, "nation").count()
     days = views.table(spark, sf_dir, "region").count() + 7
-    full = _line_selectable(spark, sf_dir)
+    full = _line_selectable(spark, sf_dir, shown=())
     comparison = selection.compare_strategies(full, selection.select_all(full, capacity), capacity)
     series = projection.project_backlog(full, capacity, days)
     stored = [

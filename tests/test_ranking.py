@@ -87,6 +87,17 @@ def _ranks_in_group(rows):
     return want
 
 
+def test_global_rank_writes_only_what_is_kept(skewed, monkeypatch):
+    df, _ = skewed
+    written = []
+    real = ranking.stage_table
+    monkeypatch.setattr(ranking, "stage_table", lambda table, label: written.append(table.columns) or real(table, label))
+    whole = {r.key: r["rank"] for r in ranking.global_rank(df, ORDER, "rank").collect()}
+    narrow = ranking.global_rank(df, ORDER, "rank", keep=["key"])
+    assert written[1] == ["key", "_place"] and narrow.columns == ["key", "rank"]
+    assert {r.key: r["rank"] for r in narrow.collect()} == whole
+
+
 def test_group_rank_of_a_hot_group(skewed):
     df, rows = skewed
     ranked = ranking.group_rank(df, ["grp"], ORDER, "rank")
