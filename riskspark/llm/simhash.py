@@ -153,11 +153,15 @@ def fingerprint_components(distinct: DataFrame, max_bits: int = MAX_BITS) -> Dat
     more = (
         members.join(others, ["key", "part"])
         .where((F.col("own") < F.col("other_own")) & _near("fp", "other", max_bits))
-        .select(F.col("fp").alias("a"), F.col("other").alias("b"))
+        .select("own", "other_own")
         .distinct()
     )
-    stars = first.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    return connected_components(stars.union(more), "a", "b")
+    # whole components are joined: their members need not be looked at again
+    joined = connected_components(more, "own", "other_own").select(F.col("node").alias("own"), F.col("component").alias("whole"))
+    joined = stage_table(joined, "simhash-joined")
+    within = first.join(joined, first.component == joined.own, "left").select("node", F.coalesce("whole", "component").alias("component"))
+    alone = joined.join(first, joined.own == first.node, "left_anti").select(F.col("own").alias("node"), F.col("whole").alias("component"))
+    return within.union(alone)
 
 
 def _owned(docs: DataFrame, max_bits: int, low: Column) -> tuple[DataFrame, DataFrame]:

@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from riskspark.llm import common
+from riskspark.llm import common, components
 from riskspark.llm.components import connected_components
 
 
@@ -63,3 +63,22 @@ def test_components_equal_union_find(spark):
 
 def test_no_edges(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+
+
+def test_stars_take_no_round(spark, monkeypatch):
+    written = []
+    stage = components.stage_table
+    monkeypatch.setattr(components, "stage_table", lambda df, label: written.append(label) or stage(df, label))
+    df = spark.createDataFrame([(low * 100 + i, low) for low in (1, 2) for i in range(5)], "a long, b long")
+    got = {r.node: r.component for r in connected_components(df, "a", "b").collect()}
+    assert got == {1: 1, 2: 2} | {low * 100 + i: low for low in (1, 2) for i in range(5)}
+    assert len(written) == 1
+
+
+def test_components_of_many_edges_equal_those_of_few(spark, monkeypatch):
+    rng = random.Random(8)
+    edges = [(rng.randrange(90), 100 + rng.randrange(90)) for _ in range(80)]
+    df = spark.createDataFrame(edges, "a long, b long")
+    few = {r.node: r.component for r in connected_components(df, "a", "b").collect()}
+    monkeypatch.setattr(components, "FEW_ROWS", 10)
+    assert few == _brute(edges) == {r.node: r.component for r in connected_components(df, "a", "b").collect()}
