@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, functions as F
+
+from riskspark.functions.bitmaps import bitmap, in_bitmap  # noqa: F401
 
 #: What separates words of ASCII letters and digits and of any other characters.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -20,25 +22,3 @@ def word_ids(words: Column) -> Column:
 def gram_hash(ids: Column, at: Column, places: tuple[int, ...]) -> Column:
     """Hash of the ids at some places after ``at``."""
     return F.xxhash64(*[F.get(ids, (at + place).cast("int")) for place in places])
-
-
-def bitmap(hashes: DataFrame, column: str, bits: int) -> Column:
-    """A bit for each remainder of the hashes modulo ``2 ** bits``, as one array of longs.
-
-    A scalar subquery of fixed size, computed once for the query it is used in.
-    """
-    slot = F.col(column).bitwiseAND((1 << bits) - 1)
-    one = F.lit(1).cast("long")
-    masks = hashes.groupBy(F.shiftright(slot, 6).alias("word")).agg(
-        F.bit_or(F.call_function("shiftleft", one, slot.bitwiseAND(63).cast("int"))).alias("mask")
-    )
-    words = hashes.sparkSession.range(1 << (bits - 6)).withColumnRenamed("id", "word")
-    filled = words.join(masks, "word", "left").select("word", F.coalesce("mask", F.lit(0)).alias("mask"))
-    in_order = F.sort_array(F.collect_list(F.struct("word", "mask")))
-    return filled.agg(F.transform(in_order, lambda w: w["mask"]).alias("bitmap")).scalar()
-
-
-def in_bitmap(bits_set: Column, value: Column, bits: int) -> Column:
-    """Whether the bit of a hash is set: always for hashes that the bitmap was made of."""
-    slot = value.bitwiseAND((1 << bits) - 1)
-    return F.getbit(F.get(bits_set, F.shiftright(slot, 6).cast("int")), slot.bitwiseAND(63).cast("int")) == 1

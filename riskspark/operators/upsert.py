@@ -5,17 +5,22 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructType
 
 from riskspark import constants as K
+from riskspark.functions.bitmaps import bitmap, in_bitmap
 from riskspark.operators.dedupe import latest_per_key
 from riskspark.operators.key_index import candidate_partitions, write_key_index
 from riskspark.operators.silver import within_window
-from riskspark.sources.sinks import overwrite_partitions, write_snapshot
+from riskspark.sources.sinks import by_partition, overwrite_partitions, write_snapshot
 from riskspark.sources.tables import DEFAULT_PARTITION, DateLike, among, read_table, table_exists
 from riskspark.sources.workdir import stage_table
 
 
+#: An upsert leaves rows in their files until there are so many times more than of this size; then it gathers them.
+FILES, FILE_BYTES = 8, 32 << 20
+
+
 @dataclass(frozen=True)
 class UpsertStats:
     modified_rows: int = 0
@@ -84,12 +89,35 @@ def affected_partitions(
     )
 
 
+def _told_apart(base: DataFrame, changes: DataFrame, key: str) -> tuple[DataFrame | None, DataFrame]:
+    """Rows of the base that a bitmap of the changed keys tells to be without a change, and the others.
+
+    The others, about as many as there are changes, are all that has to be shuffled. Keys of types
+    that an equality join would convert first are not told by their hashes.
+    """
+    kind = base.schema[key].dataType
+    if kind != changes.schema[key].dataType or kind not in (StringType(), LongType(), IntegerType()):
+        return None, base
+    bits = min(22, max(16, (16 * changes.count()).bit_length()))
+    hashes = changes.where(F.col(key).isNotNull()).select(F.xxhash64(key).alias("_hash"))
+    marked = base.withColumn("_bits", bitmap(hashes, "_hash", bits))
+    maybe = F.col(key).isNotNull() & F.coalesce(in_bitmap(F.col("_bits"), F.xxhash64(key), bits), F.lit(False))
+    return marked.where(~maybe).drop("_bits"), marked.where(maybe).drop("_bits")
+
+
 def merged(base: DataFrame, incoming: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """Rows without a change, and all incoming rows; columns unknown to one side become null."""
     untouched = base.join(changes.select(key), key, "left_anti")
     return untouched.unionByName(incoming, allowMissingColumns=True)
 
 
+def _in_few_files(spark: SparkSession, table: str, partition: str, values: list) -> bool:
+    """Whether the files of these partitions are not far more than their size asks for; from the listing alone."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(table)
+    n, size = files.where(among(partition, values)).agg(F.count(F.lit(1)), F.sum("length")).first()
+    return n <= FILES * (len(values) + (size or 0) / FILE_BYTES)
+
+
 def upsert_partitions(
     spark: SparkSession,
     changes: DataFrame,
@@ -107,10 +135,10 @@ def upsert_partitions(
 
     A changed record goes to the partition named by its ``target`` column and every other copy of
     its key leaves the table, also when the newest version lies before ``first_year`` or has no
-    year: then the key leaves for good. The new content of all touched partitions is computed into
-    the work folder and counted there; only if the count is as expected does it replace them, so a
-    failure before that changes nothing. Partitions that lose all rows are cleared after it; a run
-    that broke off in between is put right by running the same change set again.
+    year: then the key leaves for good. The new content of all touched partitions is counted, which
+    reads keys only; if the count is as expected it is written beside them and replaces them when it
+    is complete, so a failure before that changes nothing. Partitions that lose all rows are cleared
+    after it; a run that broke off in between is put right by running the same change set again.
 
     With an ``index`` folder only partitions that may hold a changed key are searched for it, and
     the index is renewed for the partitions that changed.
@@ -126,15 +154,19 @@ def upsert_partitions(
     touched = affected_partitions(base, latest, incoming, key, partition, may_hold).collect()
     if not touched:
         return UpsertStats()
-    result = incoming
+    result, together = incoming, False
     if base is not None:
-        held = base.where(among(partition, [row[partition] for row in touched]))
-        result = merged(held, incoming, latest, key)
-    staged = stage_table(result, "upsert")
-    expected, found = sum(row["rows_after"] for row in touched), staged.count()
+        values = [row[partition] for row in touched]
+        lying, others = _told_apart(base.where(among(partition, values)), latest, key)
+        result = merged(others, incoming, latest, key)
+        if lying is not None:
+            together = _in_few_files(spark, table, partition, values)
+            result = by_partition(result, [partition]) if together else result
+            result = lying.unionByName(result, allowMissingColumns=True)
+    expected, found = sum(row["rows_after"] for row in touched), result.count()
     if found != expected:
         raise RuntimeError(f"the upsert made {found} rows, expected {expected}; {table} is unchanged")
-    written = overwrite_partitions(staged, table, [partition])
+    written = overwrite_partitions(result, table, [partition], together=together)
     emptied = [row[partition] for row in touched if row["exists_now"] and not row["rows_after"]]
     _write_empty(spark, table, partition, emptied, result.drop(partition).schema)
     if index is not None:

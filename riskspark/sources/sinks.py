@@ -19,13 +19,17 @@ CSV_OPTIONS = {
 }
 
 
+#: Tables of long texts are about a third smaller than in the default codec.
+CODEC = "zstd"
+
+
 def write_counted(df: DataFrame, write: Callable[[DataFrameWriter], None]) -> int:
     seen = Observation()
     write(df.observe(seen, F.count(F.lit(1)).alias("rows")).write)
     return seen.get["rows"]
 
 
-def _by_partition(df: DataFrame, by: Sequence[str]) -> DataFrame:
+def by_partition(df: DataFrame, by: Sequence[str]) -> DataFrame:
     """Rows of one partition brought together into files of a sensible size.
 
     Without it every task leaves a small file in every partition. Adaptive execution splits a
@@ -35,16 +39,17 @@ def _by_partition(df: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def overwrite_partitions(
-    df: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet", reset: bool = False
+    df: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet", reset: bool = False, together: bool = False
 ) -> int:
     """Replace the partitions present in ``df`` and keep the others; ``reset`` drops them all.
 
-    The overwrite mode is set on the write, so the session setting does not matter.
+    The overwrite mode is set on the write, so the session setting does not matter. ``together``
+    says that the rows of a partition are in few tasks already.
     """
     mode = "static" if reset else "dynamic"
     return write_counted(
-        _by_partition(df, by),
-        lambda w: w.format(fmt)
+        df if together else by_partition(df, by),
+        lambda w: (w.option("compression", CODEC) if fmt == "parquet" else w).format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", mode)
         .partitionBy(*by)
@@ -61,11 +66,12 @@ def write_snapshot(
     row) leaves nothing stale behind. ``single_file`` is for results of a few rows.
     """
     body = df.drop("snapshot_date")
-    body = body.coalesce(1) if single_file else _by_partition(body, by)
+    body = body.coalesce(1) if single_file else by_partition(body, by)
     return write_counted(
         body,
         lambda w: w.mode("overwrite")
         .option("partitionOverwriteMode", "static")
+        .option("compression", CODEC)
         .partitionBy(*by)
         .parquet(f"{path}/snapshot_date={str(date)[:10]}"),
     )

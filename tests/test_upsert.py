@@ -143,3 +143,32 @@ def test_a_wrong_count_leaves_the_table_alone(spark, path, monkeypatch):
     with pytest.raises(RuntimeError, match="unchanged"):
         upsert.upsert_partitions(spark, _rows(spark, ("A", 2020, 2, "new")), path)
     assert _content(spark, path) == [("A", 2020, "old")]
+
+
+def test_only_rows_that_may_be_changed_are_shuffled(spark, path, monkeypatch):
+    base = [(f"{i:04}", 2020 + i % 3, 1, f"text {i}") for i in range(400)]
+    _store(spark, path, _rows(spark, *base))
+    met = []
+    merged = upsert.merged
+    monkeypatch.setattr(upsert, "merged", lambda held, *rest: met.append(held.count()) or merged(held, *rest))
+    staged = []
+    stage = upsert.stage_table
+    monkeypatch.setattr(upsert, "stage_table", lambda df, label: staged.append(label) or stage(df, label))
+    changes = [(f"{i:04}", 2021, 2, "changed") for i in range(0, 400, 50)]
+    upsert.upsert_partitions(spark, _rows(spark, *changes, (None, 2021, 2, "no key")), path)
+    new = {k: (k, y, text) for k, y, _, text in base + changes}
+    assert _content(spark, path) == sorted(new.values())
+    assert met[0] < 20
+    # the new content is written once, to the table
+    assert "upsert" not in staged
+
+
+def test_many_small_files_are_gathered(spark, path, tmp_path, monkeypatch):
+    monkeypatch.setattr(upsert, "FILES", 1)
+    rows = [(f"{i:04}", 2020, 1, "a") for i in range(40)]
+    for part in range(4):
+        _rows(spark, *rows[part::4]).selectExpr("*", "2020 AS year").write.mode("append").partitionBy("year").parquet(path)
+    assert len(list((tmp_path / "table" / "year=2020").glob("*.parquet"))) > 3
+    upsert.upsert_partitions(spark, _rows(spark, ("0001", 2020, 2, "b")), path)
+    assert len(list((tmp_path / "table" / "year=2020").glob("*.parquet"))) == 1
+    assert len(_content(spark, path)) == 40
