@@ -1,15 +1,18 @@
 """SimHash near-duplicates: deletion-variant signatures, equality joins, connected groups.
 
 The fingerprint is cut into two halves of 32 bits. Three differing bits or fewer put at most one
-into some half, so two linked fingerprints agree on that half once its differing bit is masked.
-Every distinct fingerprint is indexed under each half with each bit masked (64 keys), rows meet by
-equality of keys, and each meeting is verified by counting the differing bits.
+into some half, so two linked fingerprints agree on that half, whole or once its differing bit is
+masked. Every distinct half is indexed whole and with each bit masked (its deletion variants, 32
+keys), rows meet by equality of keys, and each meeting is verified by counting the differing bits.
 
 No group is ever expanded into all its pairs. Copies collapse to one row per distinct fingerprint
-first. In each key group all members are compared with one hub, the fingerprint that most documents
-have; the links found are contracted to components; only key groups that still hold several
-components are looked at again, and there two members meet only if they are in different
-components and also agree on one byte of the other half (three bits cannot touch all four).
+first, and fingerprints of one half to one row per half before variants are made: a group of one half
+has one key, not 32 with the same members. Two halves share at most one variant, as they differ in
+just its bit, and only the fingerprints of such pairs become rows of it. In each key group all members
+are compared with one hub, the fingerprint that most documents have; the links found are contracted
+to components; only key groups that still hold several components are looked at again, and there two
+members meet only if they are in different components and also agree on one byte of the other half
+(three bits cannot touch all four).
 """
 
 from __future__ import annotations
@@ -90,14 +93,26 @@ def _half(fingerprint: Column, which: int) -> Column:
     return F.shiftrightunsigned(fingerprint, 32) if which else fingerprint.bitwiseAND(0xFFFFFFFF)
 
 
-def wildcard_keys(fingerprint: Column) -> Column:
-    """The 64 keys: (half, masked bit) in the upper bits, the half without that bit in the lower."""
-    keys = []
-    for which in (0, 1):
-        for bit in range(32):
-            rest = _half(fingerprint, which).bitwiseAND(0xFFFFFFFF ^ (1 << bit))
-            keys.append(rest.bitwiseOR(F.lit((which * 32 + bit) << 32)))
-    return F.array(*keys)
+def half_keys(fingerprint: Column) -> Column:
+    """The two whole halves as keys: which half in the upper bits, above those of variants."""
+    return F.array(*[_half(fingerprint, which).bitwiseOR(F.lit((64 + which) << 32)) for which in (0, 1)])
+
+
+def variant_keys(half: Column) -> Column:
+    """The 32 keys of a half key: (half, masked bit) in the upper bits, the half without that bit in the lower."""
+    slot = F.shiftrightunsigned(half, 32).bitwiseAND(1) * 32
+    rest = half.bitwiseAND(0xFFFFFFFF)
+    return F.array(
+        *[
+            rest.bitwiseAND(0xFFFFFFFF ^ (1 << bit)).bitwiseOR(F.shiftleft(slot + bit, 32))
+            for bit in range(32)
+        ]
+    )
+
+
+def _of_first_half(key: Column) -> Column:
+    slot = F.shiftrightunsigned(key, 32)
+    return (slot < 32) | (slot == 64)
 
 
 def _near(a: str, b: str, max_bits: int) -> Column:
@@ -108,15 +123,28 @@ def fingerprint_components(distinct: DataFrame, max_bits: int = MAX_BITS) -> Dat
     """``node``, ``component`` over a table (``fp`` unique, ``n_docs``), for linked fingerprints only."""
     if not 0 <= max_bits <= 3:
         raise ValueError("two halves find up to three differing bits")
-    entries = distinct.select("fp", "n_docs", F.explode(wildcard_keys(F.col("fp"))).alias("key"))
-    hubs = (
-        entries.groupBy("key")
-        .agg(F.max(F.struct("n_docs", "fp")).alias("top"), F.count(F.lit(1)).alias("members"))
-        .where("members > 1")
-        .select("key", F.col("top.fp").alias("hub"))
+    entries = distinct.select("fp", "n_docs", F.explode(half_keys(F.col("fp"))).alias("half"))
+    # the fingerprints of one half are one row from here on, whatever their number
+    halves = stage_table(
+        entries.groupBy("half").agg(F.max(F.struct("n_docs", "fp")).alias("top"), F.count(F.lit(1)).alias("members")),
+        "simhash-halves",
+    )
+    variants = (
+        halves.select("half", F.explode(variant_keys(F.col("half"))).alias("key"))
+        .groupBy("key")
+        .agg(F.min("half").alias("low"), F.max("half").alias("high"))
+        .where("low < high")
+    )
+    pairs = variants.select("key", F.explode(F.array("low", "high")).alias("half"))
+    tops = stage_table(pairs.hint("merge").join(halves.select("half", "top"), "half"), "simhash-variants")
+    # the hub of a variant is that of one of its two halves
+    hubs = tops.groupBy("key").agg(F.max("top").alias("top")).select("key", F.col("top.fp").alias("hub"))
+    groups = tops.select("half", "key").hint("merge").join(hubs, "key")
+    groups = groups.union(halves.where("members > 1").select("half", F.col("half").alias("key"), F.col("top.fp")))
+    # the planner's estimate does not know that each row became many: it must not take the entries for small
+    met = stage_table(
+        entries.select("half", "fp").hint("merge").join(groups, "half").select("key", "fp", "hub"), "simhash-keys"
     )
-    # the planner's estimate does not know that each row became 64: it must not take the entries for small
-    met = stage_table(entries.select("key", "fp").hint("merge").join(hubs, "key"), "simhash-keys")
     links = stage_table(
         met.where((F.col("fp") != F.col("hub")) & _near("fp", "hub", max_bits))
         .select(F.col("fp").alias("a"), F.col("hub").alias("b"))
@@ -137,7 +165,7 @@ def fingerprint_components(distinct: DataFrame, max_bits: int = MAX_BITS) -> Dat
     parts = F.array(
         *[
             F.when(
-                F.col("key") < (32 << 32),
+                _of_first_half(F.col("key")),
                 F.shiftright(_half(F.col("fp"), 1), 8 * i).bitwiseAND(0xFF),
             )
             .otherwise(F.shiftright(_half(F.col("fp"), 0), 8 * i).bitwiseAND(0xFF))

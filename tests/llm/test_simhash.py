@@ -90,6 +90,27 @@ def test_components_of_planted_fingerprints(spark):
     assert sets(mine) == sets(want)
 
 
+def test_fingerprints_of_one_half_make_one_row_each(spark, monkeypatch):
+    """A large group that agrees on a half has one key, not one for each bit that may be masked."""
+    rows = {}
+    stage = simhash.stage_table
+
+    def counted(df, label):
+        table = stage(df, label)
+        rows[label] = table.count()
+        return table
+
+    monkeypatch.setattr(simhash, "stage_table", counted)
+    rng = random.Random(6)
+    prints = [rng.getrandbits(63) >> 32 << 32 | 77 for _ in range(200)]
+    distinct = spark.createDataFrame([(v, 1) for v in {*prints, prints[0] ^ 1, prints[1] ^ (1 << 40)}], "fp long, n_docs long")
+    got = {r.node: r.component for r in simhash.fingerprint_components(distinct).collect()}
+    want = {v: min(pair) for pair in ((prints[0], prints[0] ^ 1), (prints[1], prints[1] ^ (1 << 40))) for v in pair}
+    assert got == want
+    # 201 of the shared half, two of the other half of each pair, and those where a masked bit joins two halves
+    assert rows["simhash-keys"] < 3 * 202
+
+
 def test_documents_equal_brute_force(documents):
     rng = random.Random(9)
     rows = []
