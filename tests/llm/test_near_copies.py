@@ -1,6 +1,9 @@
 import random
 import re
 
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from riskspark.llm import near_copies
 from tests.llm.conftest import ODD
@@ -144,3 +147,26 @@ def test_members_of_open_keys_are_read_for_several_hubs_at_a_time(documents, mon
     # links of near signatures may join more than the similarity of sets does
     assert {0} < {r.doc_id for r in kept.collect()} <= {i for i, _ in _kept(rows)}
     assert len(read) >= 2 and [hubs for _, hubs in read][:2] == [1, near_copies.DRAWN]
+
+
+@pytest.mark.parametrize("block", [near_copies.BLOCK, 500])
+def test_members_of_a_key_that_no_hub_links_are_compared(spark, documents, monkeypatch, block):
+    """One key, its hub is like none of the others: links among them are found all the same, in one block or many."""
+    monkeypatch.setattr(near_copies, "BLOCK", block)
+    rng = random.Random(4)
+    texts = [[f"w{i}-{k}" for k in range(rng.randint(60, 90))] for i in range(25)]
+    for i in range(1, 13):
+        # the copy of a copy is a link of its own
+        for at in (i, len(texts))[: 1 + i % 2]:
+            copy = list(texts[at])
+            copy[rng.randrange(len(copy))] = f"x{i}"
+            texts.append(copy)
+    rows = [(i, " ".join(words)) for i, words in enumerate(texts)]
+    docs = documents(rows)
+    nodes = near_copies._with_nodes(docs, 5).withColumn("keys", F.array(F.lit(7).cast("long")))
+    nodes = nodes.withColumn("n_docs", F.when(F.col("doc_id") == 0, 9).otherwise(1).cast("long")).persist()
+    known = spark.createDataFrame([], "a long, b long")
+    found = near_copies._node_components(docs, nodes.drop("doc_id", "fp"), known, 5, 0.8)
+    kept = found.join(nodes, "node").groupBy("component").agg(F.min("doc_id").alias("doc_id")).collect()
+    want = [i for i, _ in _kept(rows)]
+    assert len(want) == 25 and sorted(r.doc_id for r in kept) == want
