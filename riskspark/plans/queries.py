@@ -424,10 +424,19 @@ def nested_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed.select("cve_id", "cvss_score", "cvss_severity", "cvss_version", "published_year")
 
 
+#: A gzipped file cannot be split: one of so many wide records, some 70 MB of text, is little for a task.
+WIDE_RECORDS_PER_FILE = 200
+
+
 def cpe_fields_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many names and values a record of very many configurations, nodes and matches has."""
+    """How many names and values a record of very many configurations, nodes and matches has.
+
+    The feed is gzipped: as plain text it takes more than 300 KB a record.
+    """
     path = scratch_path(spark, "feed-wide")
-    views.wide_feed_lines(spark, sf_dir).write.text(path)
+    views.wide_feed_lines(spark, sf_dir).write.option("maxRecordsPerFile", WIDE_RECORDS_PER_FILE).option(
+        "compression", "gzip"
+    ).text(path)
     wide = silver.catalogue(feeds.read_catalogue_feed(spark, path, one_document_per_file=False))
     last = lambda name: F.array_max(F.transform(name, lambda v: v.cast("int")))
     return wide.select(
